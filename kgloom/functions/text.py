@@ -54,8 +54,11 @@ def substrings(value: Column, lengths: Column) -> Column:
 
 
 def drop_repeats(values: Column) -> Column:
-    """Remove an element equal to the one before it."""
-    return F.filter(values, lambda x, i: (i == 0) | (x != F.get(values, i - 1)))
+    """Remove an element equal to the one before it (lists without nulls)."""
+    # the list is paired with itself one place on, so each element is read once
+    before = F.concat(F.array(F.lit(None).cast("string")), values)
+    changed = F.zip_with(values, before, lambda x, last: F.when(last.isNull() | (x != last), x))
+    return F.array_compact(changed)
 
 
 def round_half_up(value: float) -> int:

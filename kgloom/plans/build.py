@@ -70,9 +70,9 @@ def build_edges(
     )
     keys = ["subject", "predicate", "object"]
     if in_source_order or extra:
-        kept = F.struct("__rank", *[named(c) for c in extra]).alias("kept")
+        kept = F.struct("__rank", *[named(c) for c in extra])
         first = F.min_by(kept, F.struct(*[named(c) for c in first_by])).alias("kept")
-        edges = rows.select(*keys, kept, *[named(c) for c in first_by]).groupBy(*keys).agg(first)
+        edges = rows.groupBy(*keys).agg(first)
         edges = edges.select(*keys, "kept.*")
     else:
         edges = rows.groupBy(*keys).agg(F.min("__rank").alias("__rank"))

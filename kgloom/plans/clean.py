@@ -93,3 +93,8 @@ def clean_graph(
     clean_nodes = normalize_nodes(nodes, normalization, term_ancestors, seeds, order_by)
     clean_edges = rewrite_raw_edges(edges, nodes, predicate_info)
     return clean_nodes, clean_edges.orderBy("subject", "object", "predicate")
+
+
+def no_empty(identifier: Column) -> Column:
+    """Aggregate: true when no identifier is empty."""
+    return F.bool_and(F.length(identifier) > 0)

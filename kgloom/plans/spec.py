@@ -61,7 +61,7 @@ def _table_snapshot(
         F.lit(table).alias("table_name"),
         "ordinal",
         "name",
-        F.get(names, F.col("ordinal")).alias("datatype"),
+        F.element_at(names, F.col("ordinal")).alias("datatype"),
         samples.alias("samples"),
     )
 
@@ -98,7 +98,11 @@ def snapshot_document(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def _table_spec(df: DataFrame, table: str, rows: int, vocabularies: dict[str, list[str]]) -> DataFrame:
+def table_spec(
+    df: DataFrame, table: str, rows: int, vocabularies: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """The spec rows of one table (``nodes`` or ``edges``), over all its rows."""
+    vocabularies = vocab.EDGE_VOCABULARIES if vocabularies is None else vocabularies
     spark = df.sparkSession
     names = [c for c in df.columns if not c.startswith("_")]
     ordinals = {c: i for i, c in enumerate(names)}
@@ -176,17 +180,16 @@ def generation_spec(
         wanted = snapshot.orderBy("ordinal").select("table_name", "name").collect()
         nodes = nodes.select(*[named(r.name) for r in wanted if r.table_name == "nodes"])
         edges = edges.select(*[named(r.name) for r in wanted if r.table_name == "edges"])
-    vocabularies = vocab.EDGE_VOCABULARIES if vocabularies is None else vocabularies
     edges = _head(edges, round_half_up(limit / 2), order_by)
     nodes = rows_with_id(nodes, endpoint_ids(edges))
-    return _table_spec(nodes, "nodes", rows, vocabularies).unionAll(
-        _table_spec(edges, "edges", rows, vocabularies)
+    return table_spec(nodes, "nodes", rows, vocabularies).unionAll(
+        table_spec(edges, "edges", rows, vocabularies)
     )
 
 
 def _scalar_text(value: Column, number: Column, setting: Column) -> Column:
     """A YAML scalar: plain where that reads back as the same text, else quoted."""
-    plain = value.rlike(r"^[A-Za-z_][A-Za-z0-9_.:/|+-]*[A-Za-z0-9_./|+-]$|^[A-Za-z_]$") & ~F.lower(value).isin(
+    plain = value.rlike(r"^[A-Za-z_](?:[A-Za-z0-9_./|+-]|:(?! )| (?! *#))*[A-Za-z0-9_./|+-]\z|^[A-Za-z_]\z") & ~F.lower(value).isin(
         "null", "true", "false", "yes", "no", "on", "off", "y", "n", "nan", "inf"
     )
     quoted = F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'"))
@@ -197,47 +200,46 @@ def _scalar_text(value: Column, number: Column, setting: Column) -> Column:
 def spec_lines(spec: DataFrame) -> DataFrame:
     """The spec as YAML lines in order, ready to be written as text.
 
-    Headings are made from one aggregate over the spec, values from its rows;
-    a range sort puts them in order, so nothing is gathered in one place.
+    Every row emits its own line and the headings above it; repeated headings
+    fall away in a distinct, and a range sort puts the lines in order.
     """
-    table = F.when(F.col("table_name") == "nodes", 0).otherwise(1)
-    last = F.when(F.col("ordinal") < 0, F.lit(2**31 - 1)).otherwise(F.col("ordinal"))
-    listed = F.col("setting").isin("prefixes", "sample_values")
-    scalar = _scalar_text(F.col("value"), F.col("number"), F.col("setting"))
-    place = F.when(F.col("setting") == "source_column", 1).when(F.col("setting") == "seed", 2).otherwise(3)
-    indent = F.lit(" " * 6)
-
-    body = spec.select(
-        table.alias("t"),
-        last.alias("c"),
-        F.when(listed, 5).otherwise(place).alias("s"),
-        "number",
-        "value",
-        F.when(listed & F.col("value").isNull(), F.concat(indent, "setting", F.lit(": []")))
-        .when(listed, F.concat(indent, F.lit("- "), scalar))
-        .when(F.col("setting") == "num_rows", F.concat(F.lit("  num_rows: "), "value"))
-        .when(F.col("setting") == "sample.num_rows", F.concat(F.lit(" " * 8), F.lit("num_rows: "), scalar))
-        .otherwise(F.concat(indent, "setting", F.lit(": "), scalar))
-        .alias("line"),
-    )
+    setting, kind, value = F.col("setting"), F.col("type"), F.col("value")
     no_number, no_value = F.lit(None).cast("double"), F.lit(None).cast("string")
-    columns = spec.where("ordinal >= 0").groupBy("table_name", "ordinal", "name", "type").agg(
-        F.max("setting").alias("setting"), F.count("value").alias("values")
-    )
-    heads = F.array(
-        F.struct(F.lit(-1).alias("s"), F.concat(F.lit(" " * 4), _scalar_text(F.col("name"), no_number, F.col("name")), F.lit(":")).alias("line")),
-        F.struct(F.lit(0).alias("s"), F.concat(indent, F.lit("type: "), "type").alias("line")),
-        F.struct(F.lit(4).alias("s"), F.when(listed & (F.col("values") > 0), F.concat(indent, "setting", F.lit(":"))).alias("line")),
-        F.struct(F.lit(2).alias("s"), F.when(F.col("type") == "copy_column", F.concat(indent, F.lit("sample:"))).alias("line")),
-    )
-    headings = columns.select(table.alias("t"), last.alias("c"), F.explode(heads).alias("h")).select(
-        "t", "c", "h.s", no_number.alias("number"), F.when(F.col("h.s") == 2, F.lit("~")).alias("value"), "h.line"
+    column, entry = F.lit(" " * 4), F.lit(" " * 6)
+    last = F.lit(2**31 - 1)
+    name = _scalar_text(F.col("name"), no_number, F.col("name"))
+    scalar = _scalar_text(value, F.col("number"), setting)
+    for_table, listed = setting == "num_rows", setting.isin("prefixes", "sample_values")
+    sampled, valued = setting == "sample.num_rows", value.isNotNull()
+
+    def line(test: Column, c: Column, s: int, *parts: Column, place=(no_number, no_value)) -> Column:
+        return F.when(
+            test,
+            F.struct(
+                c.alias("c"),
+                F.lit(s).alias("s"),
+                place[0].alias("number"),
+                place[1].alias("value"),
+                F.concat(*parts).alias("line"),
+            ),
+        )
+
+    here = F.col("ordinal")
+    own = (F.col("number"), value)
+    lines = F.array(
+        line(for_table, F.lit(-2), 0, F.col("table_name"), F.lit(":")),
+        line(for_table, F.lit(-1), 0, F.lit("  columns:")),
+        line(for_table, last, 0, F.lit("  num_rows: "), value),
+        line(~for_table, here, 0, column, name, F.lit(":")),
+        line(~for_table, here, 1, entry, F.lit("type: "), kind),
+        line(setting == "source_column", here, 2, entry, F.lit("source_column: "), scalar),
+        line(setting == "seed", here, 3, entry, F.lit("seed: "), scalar),
+        line(sampled, here, 4, entry, F.lit("sample:")),
+        line(sampled, here, 5, F.lit(" " * 8), F.lit("num_rows: "), scalar),
+        line(listed & valued, here, 6, entry, setting, F.lit(":")),
+        line(listed & valued, here, 7, entry, F.lit("- "), scalar, place=own),
+        line(listed & ~valued, here, 6, entry, setting, F.lit(": []")),
     )
-    tables = spec.groupBy("table_name").agg(F.count("*").alias("n")).select(
-        table.alias("t"), F.explode(F.array(
-            F.struct(F.lit(-2).alias("c"), F.concat("table_name", F.lit(":")).alias("line")),
-            F.struct(F.lit(-1).alias("c"), F.lit("  columns:").alias("line")),
-        )).alias("h")
-    ).select("t", "h.c", F.lit(0).alias("s"), no_number.alias("number"), no_value.alias("value"), "h.line")
-    lines = body.unionAll(headings).unionAll(tables).where("line is not null")
-    return lines.orderBy("t", "c", "s", "number", "value").select("line")
+    table = F.when(F.col("table_name") == "nodes", 0).otherwise(1)
+    all_lines = spec.select(table.alias("t"), F.explode(F.array_compact(lines)).alias("l")).select("t", "l.*")
+    return all_lines.distinct().orderBy("t", "c", "s", "number", "value").select("line")
