@@ -41,18 +41,6 @@ def before_colon(value: Column) -> Column:
     return F.substring_index(value, ":", 1)
 
 
-def substrings(value: Column, lengths: Column) -> Column:
-    """All substrings of ``value`` having one of the ``lengths`` (array of int)."""
-
-    def of_length(n: Column) -> Column:
-        starts = F.when(
-            F.length(value) >= n, F.sequence(F.lit(1), F.length(value) - n + 1)
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(value, i, n))
-
-    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
-
-
 def drop_repeats(values: Column) -> Column:
     """Remove an element equal to the one before it (lists without nulls)."""
     # the list is paired with itself one place on, so each element is read once

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import named, substrings
+from ..functions.text import named
 
 
 def rows_containing(df: DataFrame, columns: tuple[str, ...], patterns: DataFrame) -> DataFrame:
@@ -31,11 +31,15 @@ def ids_containing(ids: DataFrame, patterns: DataFrame) -> DataFrame:
     """
     wanted = patterns.select(named("id").alias("__piece")).where("__piece is not null").distinct()
     lengths = wanted.select(F.array_sort(F.collect_set(F.length("__piece")))).scalar()
+    starts = F.sequence(F.lit(1), F.length("id") - F.col("__length") + 1)
     pieces = (
         ids.select("id")
         .where("id is not null")
         .distinct()
         .withColumn("__lengths", lengths)
-        .select("id", F.explode(substrings(F.col("id"), F.col("__lengths"))).alias("__piece"))
+        .select("id", F.explode("__lengths").alias("__length"))
+        .where(F.length("id") >= F.col("__length"))
+        .select("id", "__length", F.explode(starts).alias("__start"))
+        .select("id", F.substring("id", F.col("__start"), F.col("__length")).alias("__piece"))
     )
     return pieces.join(wanted, "__piece", "left_semi").select("id").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.endpoints import endpoint_ids, rows_with_either_id, rows_with_id
 from ..operators.substring import ids_containing, rows_containing
+from ..session import materialized
 
 # Up to this many patterns are broadcast and tested one by one.
 FEW_PATTERNS = 1_000
@@ -47,12 +48,16 @@ def sample_subgraph(
     random: bool = False,
     seed: int = 0,
     match: str = "substring",
+    materialize: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) around ``size`` endpoint ids, the first ones or drawn ones.
 
     Edges are taken when subject or object matches a chosen id, nodes when their
     id matches an endpoint of such an edge. ``substring`` matching lets an id
     select every longer text containing it; ``exact`` needs equality.
+
+    The sampled edges are needed for their own output and for the nodes, so they
+    are written once to the shared folder unless ``materialize`` is off.
     """
     if match not in ("substring", "exact"):
         raise ValueError(f"match must be 'substring' or 'exact', not {match!r}")
@@ -61,9 +66,13 @@ def sample_subgraph(
     chosen = chosen.select("id")
     if match == "exact":
         sampled = rows_with_either_id(edges, chosen)
-        return rows_with_id(nodes, endpoint_ids(sampled)), sampled
-    if size <= FEW_PATTERNS:
+    elif size <= FEW_PATTERNS:
         sampled = rows_containing(edges, ("subject", "object"), chosen)
     else:
         sampled = rows_with_either_id(edges, ids_containing(ids, chosen))
-    return rows_with_id(nodes, ids_containing(nodes.select("id"), endpoint_ids(sampled))), sampled
+    if materialize:
+        sampled = materialized(sampled, "sampled-edges")
+    ends = endpoint_ids(sampled)
+    if match == "substring":
+        ends = ids_containing(nodes.select("id"), ends)
+    return rows_with_id(nodes, ends), sampled

@@ -12,6 +12,7 @@ from ..functions import vocab
 from ..functions.text import before_colon, drop_repeats, named, round_half_up
 from ..operators.columns import select_by_prefix
 from ..operators.endpoints import endpoint_ids, rows_with_id
+from ..session import materialized
 
 SNAPSHOT_ROWS = 10
 SNAPSHOT_SAMPLES = 6
@@ -180,7 +181,8 @@ def generation_spec(
         wanted = snapshot.orderBy("ordinal").select("table_name", "name").collect()
         nodes = nodes.select(*[named(r.name) for r in wanted if r.table_name == "nodes"])
         edges = edges.select(*[named(r.name) for r in wanted if r.table_name == "edges"])
-    edges = _head(edges, round_half_up(limit / 2), order_by)
+    # few rows behind a pass over all edges, used for both tables
+    edges = materialized(_head(edges, round_half_up(limit / 2), order_by), "first-edges")
     nodes = rows_with_id(nodes, endpoint_ids(edges))
     return table_spec(nodes, "nodes", rows, vocabularies).unionAll(
         table_spec(edges, "edges", rows, vocabularies)

@@ -16,11 +16,11 @@ _GROUPED = {
 }
 
 RELATION_TABLE = """
-SELECT DISTINCT 'drug_protein' relation,
+SELECT 'drug_protein' relation,
   CASE l_returnflag WHEN 'A' THEN 'enzyme' WHEN 'N' THEN 'target' ELSE 'transporter' END display_relation,
   CAST(l_partkey AS STRING) x_id, 'drug' x_type, 'DrugBank' x_source,
   CAST(l_suppkey AS STRING) y_id, 'gene/protein' y_type, 'NCBI' y_source
-FROM {lineitem}
+FROM (SELECT DISTINCT l_returnflag, l_partkey, l_suppkey FROM {lineitem}) sold
 UNION ALL
 SELECT CASE WHEN s_acctbal < 0 THEN 'anatomy_protein_absent' ELSE 'anatomy_protein_present' END, 'expression',
   CAST(s_suppkey AS STRING), 'gene/protein', 'NCBI', CAST(s_nationkey AS STRING), 'anatomy', 'UBERON'
@@ -30,10 +30,11 @@ SELECT 'pathway_pathway', 'parent-child', concat('R-', CAST(r_regionkey AS STRIN
   concat('N-', CAST(n_nationkey AS STRING)), 'pathway', 'REACTOME'
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 UNION ALL
-SELECT DISTINCT CASE o_orderstatus WHEN 'F' THEN 'disease_phenotype_negative' ELSE 'disease_phenotype_positive' END,
+SELECT CASE WHEN negative THEN 'disease_phenotype_negative' ELSE 'disease_phenotype_positive' END,
   'phenotype', CAST(c_custkey AS STRING), 'disease', 'MONDO',
   CAST(c_nationkey AS STRING), 'effect/phenotype', 'HPO'
-FROM {customer} JOIN {orders} ON o_custkey = c_custkey
+FROM {customer} JOIN (SELECT DISTINCT o_custkey, o_orderstatus = 'F' negative FROM {orders}) seen
+  ON o_custkey = c_custkey
 UNION ALL
 SELECT event_type, 'event', CAST(user_id AS STRING), 'exposure', 'CTD', event_type, 'biological_process', 'GO'
 FROM (SELECT DISTINCT event_type, user_id FROM {events}) seen
@@ -137,9 +138,10 @@ UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), 'Disease', concat('DOID
 FROM {customer}
 """
 RAW_EDGES = """
-SELECT DISTINCT concat('p', CAST(l_partkey AS STRING)) subject, concat('s', CAST(l_suppkey AS STRING)) object,
-  'BINDS' predicate, 'edge_1' file FROM {lineitem}
-UNION ALL SELECT DISTINCT concat('c', CAST(o_custkey AS STRING)), o_orderpriority, 'HAS', 'edge_2' FROM {orders}
+SELECT concat('p', CAST(l_partkey AS STRING)) subject, concat('s', CAST(l_suppkey AS STRING)) object,
+  'BINDS' predicate, 'edge_1' file FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {lineitem}) sold
+UNION ALL SELECT concat('c', CAST(o_custkey AS STRING)), o_orderpriority, 'HAS', 'edge_2'
+FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM {orders}) seen
 UNION ALL SELECT concat('s', CAST(s_suppkey AS STRING)), CAST(s_nationkey AS STRING), 'IN', 'edge_3' FROM {supplier}
 """
 # edge_3 is about no raw category here, so its subjects stay

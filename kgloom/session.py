@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RECOMMENDED = {
     # headers may differ by case only
@@ -38,3 +40,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="kgloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For a result used several times whose lineage is long: it is computed once
+    and outlives the executors that computed it.
+    """
+    untyped = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    if untyped:
+        df = df.withColumns({n: F.lit(None).cast("string") for n in untyped})
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
