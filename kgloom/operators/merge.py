@@ -151,6 +151,9 @@ def _merge_joined(
     sizes = reduce(DataFrame.unionAll, tagged).groupBy(*key_columns).agg(*per_table)
 
     counters = F.array(*[F.col(f"__n{i}") for i in range(len(dfs))])
+    # always true, but it keeps the counters in both uses of the sizes, so that
+    # they share one shuffle
+    sizes = sizes.where(F.array_max(counters) > 0)
     frequent = sizes.select(*key_columns, F.array_max(counters).alias("__n"), counters.alias("__all"))
     split = (
         frequent.where(F.col("__n") > split_rows)
