@@ -8,12 +8,11 @@ from pyspark.sql import types as T
 
 from ..functions.text import named
 
-# A null marker no file holds, for scans that must tell "missing" from "empty".
-_NO_NULLS = "\u0001\u0001"
-_SPARE = "__spare_field"
+# A separator no file holds: the line stays one cell.
+_WHOLE_LINE = "\u0001\u0002\u0001"
+_CORRUPT = "__corrupt"
 
 _QUOTED = {"quote": '"', "escape": '"'}
-_UNQUOTED = {"quote": "", "nullValue": _NO_NULLS, "emptyValue": "", "maxColumns": "200000"}
 
 KGX_NODE_FIELDS = ["id", "category"]
 KGX_EDGE_FIELDS = [
@@ -94,15 +93,20 @@ def _scan_strict_width(
     spark: SparkSession, paths: list[str], sep: str, schema: T.StructType | None, multi_line: bool
 ) -> DataFrame:
     names = _reader(spark, sep, **_QUOTED).csv(paths).columns
-    wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _SPARE]])
-    options = {**_QUOTED, "nullValue": _NO_NULLS, "emptyValue": "", "multiLine": multi_line}
-    rows = _reader(spark, sep, **options).schema(wide).csv(paths)
-    # a spare field is present only in a row wider than the header
-    too_wide = F.raise_error(F.lit("found more fields than the header defines")).cast("boolean")
-    rows = rows.where(F.when(named(_SPARE).isNotNull(), too_wide).otherwise(F.lit(True)))
+    flagged = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+    # columnPruning off: the width of a row is judged whatever columns are read
+    options = {"columnNameOfCorruptRecord": _CORRUPT, "columnPruning": False, "multiLine": multi_line}
+    rows = _reader(spark, sep, **_QUOTED, **options).schema(flagged).csv(paths)
+    # a row of another width keeps its text; only then are its fields counted
+    unquoted = "\\Q" + sep + '\\E(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    too_wide = F.size(F.split(named(_CORRUPT), unquoted, -1)) > len(names)
+    failure = F.raise_error(F.lit("found more fields than the header defines")).cast("boolean")
+    # the first column takes part because a scan may not ask for the row text alone
+    read = F.length(F.coalesce(named(names[0]), F.lit(""))) >= 0
+    rows = rows.where(F.when(named(_CORRUPT).isNotNull() & too_wide & read, failure).otherwise(read))
     cells = []
     for i, name in enumerate(names):
-        cell = F.nullif(named(name), F.lit(""))
+        cell = named(name)
         if schema is not None and not isinstance(schema[i].dataType, T.StringType):
             cell = cell.try_cast(schema[i].dataType)
         cells.append(cell.alias(name))
@@ -112,9 +116,13 @@ def _scan_strict_width(
 def read_lines_tsv(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
     """Scan in which quotes are data: a missing field is null, an empty one ``''``.
 
-    Lines holding nothing but blanks are skipped.
+    The names come from the first file's header. Lines holding nothing but blanks
+    are skipped.
     """
-    return _reader(spark, sep, **_UNQUOTED).csv(_paths(path))
+    lines = _reader(spark, _WHOLE_LINE, quote="").csv(_paths(path))
+    names = lines.columns[0].split(sep)
+    fields = lines.toDF("line").select(F.split("line", "\\Q" + sep + "\\E", -1).alias("fields"))
+    return fields.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def _leading(df: DataFrame, names: list[str]) -> DataFrame:
