@@ -56,23 +56,26 @@ def sample_subgraph(
     id matches an endpoint of such an edge. ``substring`` matching lets an id
     select every longer text containing it; ``exact`` needs equality.
 
-    The sampled edges are needed for their own output and for the nodes, so they
-    are written once to the shared folder unless ``materialize`` is off.
+    Substrings are searched in the distinct ids, not in the edges. Unless
+    ``materialize`` is off, the matching ids and the sampled edges are written
+    once to the shared folder: the joins on them then start from their true
+    size, and the edges, needed for their own output and for the nodes, are
+    computed once.
     """
     if match not in ("substring", "exact"):
         raise ValueError(f"match must be 'substring' or 'exact', not {match!r}")
     ids = endpoint_ids(edges).where("id is not null")
     chosen = draw_ids(edges.sparkSession, ids, size, seed) if random else first_ids(ids, size)
     chosen = chosen.select("id")
-    if match == "exact":
-        sampled = rows_with_either_id(edges, chosen)
-    elif size <= FEW_PATTERNS:
-        sampled = rows_containing(edges, ("subject", "object"), chosen)
-    else:
-        sampled = rows_with_either_id(edges, ids_containing(ids, chosen))
-    if materialize:
-        sampled = materialized(sampled, "sampled-edges")
+    def settled(df: DataFrame, label: str) -> DataFrame:
+        return materialized(df, label) if materialize else df
+
+    if match == "substring":
+        few = size <= FEW_PATTERNS
+        chosen = rows_containing(ids, ("id",), chosen) if few else ids_containing(ids, chosen)
+        chosen = settled(chosen, "matching-ids")
+    sampled = settled(rows_with_either_id(edges, chosen), "sampled-edges")
     ends = endpoint_ids(sampled)
     if match == "substring":
-        ends = ids_containing(nodes.select("id"), ends)
+        ends = settled(ids_containing(nodes.select("id"), ends), "sampled-ids")
     return rows_with_id(nodes, ends), sampled

@@ -6,6 +6,8 @@ from the same rows. ``{name}`` stands for a given table.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
@@ -189,7 +191,9 @@ def oracle(text: str) -> str:
     return "(" + sql_for("duckdb", text, {t: t for t in TABLES}).strip() + ")"
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The frame of a given table; its file list and schema are looked up once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
