@@ -65,6 +65,7 @@ def merge_tables(
     """
     if not dfs:
         raise ValueError("nothing to merge")
+    dfs = _with_shared_key_types(dfs, keys)
     layout = merged_layout([df.columns for df in dfs], keys, coalesce, leading)
     types = {name: _common_type(dfs, cells) for name, cells in layout.items()}
     present = [df.where(_all_present(keys)) for df in dfs]
@@ -78,6 +79,14 @@ def merge_tables(
     return merged
 
 
+def _with_shared_key_types(dfs: list[DataFrame], keys: list[str]) -> list[DataFrame]:
+    """Keys of unlike types (say, inferred from different files) are compared as text."""
+    unlike = [k for k in keys if len({df.schema[k].dataType for df in dfs}) > 1]
+    if not unlike:
+        return dfs
+    return [df.withColumns({k: named(k).cast("string") for k in unlike}) for df in dfs]
+
+
 def _all_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys])
 

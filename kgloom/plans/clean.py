@@ -89,10 +89,16 @@ def clean_graph(
     seeds: dict[str, str | None] | None = None,
     order_by: list[str | Column] = ("id",),
 ) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) of a raw graph after normalization; edges by subject, object."""
+    """(nodes, edges) of a raw graph after normalization; edges by subject, object.
+
+    The other columns follow in the sort order, so that the range sort can also
+    part the rows of a frequent pair.
+    """
     clean_nodes = normalize_nodes(nodes, normalization, term_ancestors, seeds, order_by)
     clean_edges = rewrite_raw_edges(edges, nodes, predicate_info)
-    return clean_nodes, clean_edges.orderBy("subject", "object", "predicate")
+    ends = ["subject", "object"]
+    rest = [named(c) for c in clean_edges.columns if c not in ends]
+    return clean_nodes, clean_edges.orderBy(*ends, *rest)
 
 
 def no_empty(identifier: Column) -> Column:

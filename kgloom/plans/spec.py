@@ -166,22 +166,23 @@ def generation_spec(
     limit: int = 20,
     rows: int = 100,
     snapshot: DataFrame | None = None,
-    order_by: Iterable[str] | None = ("subject", "predicate", "object"),
+    order_by: Iterable[str] | None = None,
     vocabularies: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """A data-generation spec as rows, one per listed value.
 
     It describes the first ``limit / 2`` edges and the nodes they touch; columns
-    with a leading ``_`` are left out. With ``snapshot`` only its columns are
-    used. Columns: table_name, ordinal, name, type, setting, value, number
-    (the place of a value, or its numeric form).
+    with a leading ``_`` are left out. First means as scanned, which reads no
+    more than it needs, or under ``order_by``, which passes over all edges. With
+    ``snapshot`` only its columns are used. Columns: table_name, ordinal, name,
+    type, setting, value, number (the place of a value, or its numeric form).
     """
     if snapshot is not None:
         # as many rows as the two tables have columns
         wanted = snapshot.orderBy("ordinal").select("table_name", "name").collect()
         nodes = nodes.select(*[named(r.name) for r in wanted if r.table_name == "nodes"])
         edges = edges.select(*[named(r.name) for r in wanted if r.table_name == "edges"])
-    # few rows behind a pass over all edges, used for both tables
+    # few rows, maybe behind a pass over all edges, used for both tables
     edges = materialized(_head(edges, round_half_up(limit / 2), order_by), "first-edges")
     nodes = rows_with_id(nodes, endpoint_ids(edges))
     return table_spec(nodes, "nodes", rows, vocabularies).unionAll(

@@ -561,7 +561,8 @@ def schema_snapshot_columns(spark, sf_dir):
 
 
 def _spec(spark, sf_dir, snapshot=None):
-    return plans.generation_spec(graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir), snapshot=snapshot)
+    nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
+    return plans.generation_spec(nodes, edges, snapshot=snapshot, order_by=EDGE_KEYS)
 
 
 @job

@@ -179,10 +179,16 @@ def read_kgx_edges(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_many(
     spark: SparkSession, paths: list[str], sep: str = "\t", tag: str | None = "_file"
 ) -> DataFrame:
-    """Append files whose headers may differ; ``tag`` names the file of each row."""
-    result = None
+    """Append files whose headers may differ; ``tag`` names the file of each row.
+
+    Files with equal headers are read by one scan.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        rows = read_delimited(spark, path, sep)
+        by_header.setdefault(tuple(read_delimited(spark, path, sep).columns), []).append(path)
+    result = None
+    for alike in by_header.values():
+        rows = read_delimited(spark, alike, sep)
         if tag:
             rows = rows.withColumn(tag, F.col("_metadata.file_name"))
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)

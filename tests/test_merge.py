@@ -142,3 +142,10 @@ def test_edges_coalesce_their_columns(spark, rows):
     merged = plans.merge_edges([a, b])
     assert merged.columns == ["subject", "predicate", "object", "evidence", "note", "note_right"]
     assert rows(merged) == [("s", "p", "o", "e", "n", "m")]
+
+
+def test_keys_of_unlike_types(spark, rows):
+    a = spark.createDataFrame([(1, "x")], "k bigint, v string")
+    b = spark.createDataFrame([("1", "y"), ("z", "w")], "k string, u string")
+    for unique in (False, True):
+        assert rows(merge_tables([a, b], ["k"], unique_keys=unique)) == [("1", "x", "y"), ("z", None, "w")]
