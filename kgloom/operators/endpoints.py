@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
+from .keys import own_shuffle
 
 ENDPOINTS = ("subject", "object")
 
@@ -33,8 +34,8 @@ def endpoint_check(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def rows_with_id(df: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
     """Rows whose ``column`` equals one of the ``id`` values."""
-    wanted = ids.select(named("id").alias("__wanted")).distinct()
-    return df.join(wanted, named(column) == F.col("__wanted"), "left_semi")
+    wanted = ids.select("id").distinct().select(own_shuffle(named("id")).alias("__wanted"))
+    return df.join(wanted, named(column).cast("string") == F.col("__wanted"), "left_semi")
 
 
 def rows_with_either_id(df: DataFrame, ids: DataFrame, columns: tuple[str, ...] = ENDPOINTS) -> DataFrame:
@@ -46,7 +47,7 @@ def rows_with_either_id(df: DataFrame, ids: DataFrame, columns: tuple[str, ...]
     flags = []
     for i, column in enumerate(columns):
         key, flag = f"__wanted{i}", f"__flag{i}"
-        wanted = ids.select(named("id").alias(key)).distinct().withColumn(flag, F.lit(True))
-        df = df.join(wanted, named(column) == F.col(key), "left").drop(key)
+        wanted = ids.select("id").distinct().select(own_shuffle(named("id")).alias(key), F.lit(True).alias(flag))
+        df = df.join(wanted, named(column).cast("string") == F.col(key), "left").drop(key)
         flags.append(flag)
     return df.where(F.coalesce(*flags)).drop(*flags)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named, with_prefix
+from .keys import own_shuffle
 
 
 def id_map(nodes: DataFrame) -> DataFrame:
@@ -27,8 +28,8 @@ def rewrite_endpoints(
     order = edges.columns
     for i, column in enumerate(columns):
         key, value = f"__id{i}", f"__identifier{i}"
-        lookup = mapping.select(named("id").alias(key), named("identifier").alias(value))
-        edges = edges.join(lookup, named(column) == F.col(key), "left")
+        lookup = mapping.select(own_shuffle(named("id")).alias(key), named("identifier").alias(value))
+        edges = edges.join(lookup, named(column).cast("string") == F.col(key), "left")
         edges = edges.withColumn(column, F.coalesce(value, named(column))).drop(key, value)
     if prefix_predicate:
         edges = edges.withColumn("predicate", with_prefix(named("predicate")))

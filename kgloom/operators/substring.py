@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
+from .keys import own_shuffle
 
 
 def rows_containing(df: DataFrame, columns: tuple[str, ...], patterns: DataFrame) -> DataFrame:
@@ -42,4 +43,6 @@ def ids_containing(ids: DataFrame, patterns: DataFrame) -> DataFrame:
         .select("id", "__length", F.explode(starts).alias("__start"))
         .select("id", F.substring("id", F.col("__start"), F.col("__length")).alias("__piece"))
     )
-    return pieces.join(wanted, "__piece", "left_semi").select("id").distinct()
+    # a frequent piece, such as a shared prefix, only grows the left side
+    wanted = wanted.select(own_shuffle(F.col("__piece")).alias("__wanted"))
+    return pieces.join(wanted, F.col("__piece") == F.col("__wanted"), "left_semi").select("id").distinct()

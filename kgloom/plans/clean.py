@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.text import list_text, named
 from ..operators.first import keep_first
+from ..operators.keys import own_shuffle
 from ..operators.rewrite import id_map, rewrite_endpoints
 
 
@@ -74,7 +75,10 @@ def rewrite_raw_edges(edges: DataFrame, nodes: DataFrame, predicate_info: DataFr
         .groupBy(F.col("id").alias("__id"))
         .agg(F.array_sort(F.collect_list(F.struct("category", "identifier"))).alias("__known"))
     )
-    joined = edges.join(about, "file", "left").join(mapping, F.col("subject") == F.col("__id"), "left")
+    about = about.select(own_shuffle(F.col("file")).alias("__file"), "__about")
+    mapping = mapping.select(own_shuffle(F.col("__id")).alias("__id"), "__known")
+    joined = edges.join(about, F.col("file") == F.col("__file"), "left")
+    joined = joined.join(mapping, F.col("subject") == F.col("__id"), "left")
     usable = F.filter("__known", lambda k: F.array_contains("__about", k["category"]))
     replaced = F.coalesce(F.get(usable, F.lit(0))["identifier"], F.col("subject"))
     return joined.withColumn("subject", replaced).select(*[named(c) for c in order])

@@ -218,7 +218,7 @@ ORACLES: dict[str, str] = {
   SELECT * FROM {NODES} n WHERE id IN (SELECT subject FROM sampled) OR id IN (SELECT object FROM sampled)""",
     "substring_ids": f"""WITH ends AS MATERIALIZED (SELECT DISTINCT id FROM {ENDS} e)
   SELECT DISTINCT id FROM {NODES} n WHERE EXISTS (SELECT 1 FROM ends WHERE contains(n.id, ends.id))""",
-    "sample_random_check": f"SELECT {FIRST_IDS} draws, 0 AS unknown",
+    "sample_random_check": f"SELECT CAST({FIRST_IDS} AS BIGINT) draws, CAST(0 AS BIGINT) AS unknown",
     # columns
     "clean_nodes_header": f"""SELECT id, category AS "__label", name, _src AS "_src", _acctbal AS "_acctbal" FROM {NODES} n""",
     "clean_edges_header": f"""SELECT subject, predicate, object, publications, {_NONE} AS "_upstream" FROM {EDGES} e""",
@@ -256,7 +256,7 @@ ORACLES: dict[str, str] = {
   CAST(o_totalprice AS VARCHAR) o_totalprice, o_orderpriority FROM orders""",
     "comma_scan": """SELECT CAST(doc_id AS VARCHAR) doc_id, nullif(replace(replace(text, chr(10), ' '), chr(13), ' '), '') AS text
   FROM documents""",
-    "multi_line_scan": "SELECT CAST(doc_id AS VARCHAR) doc_id, length(text) AS length FROM documents",
+    "multi_line_scan": "SELECT CAST(doc_id AS VARCHAR) doc_id, CAST(length(text) AS INT) AS length FROM documents",
     "inferred_scan": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) p_size, p_retailprice FROM part",
     "strict_scan": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "raw_node_scan": f"SELECT id, category, identifier, name FROM {RAW_NODES} n",
