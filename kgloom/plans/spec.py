@@ -30,12 +30,15 @@ def _head(df: DataFrame, rows: int, order_by: Iterable[str] | None) -> DataFrame
 
 
 def _cells(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
-    """Long form (ordinal, name, value), values as text."""
-    cells = [
-        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"), named(c).cast("string").alias("value"))
-        for c, i in ordinals.items()
-    ]
-    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    """Long form (ordinal, value), values as text."""
+    values = F.array(*[named(c).cast("string") for c in ordinals])
+    long = df.select(F.posexplode(values).alias("place", "value"))
+    return long.select(F.get(F.array(*[F.lit(i) for i in ordinals.values()]), "place").alias("ordinal"), "value")
+
+
+def _by_ordinal(values: dict[int, str]) -> Column:
+    """Look up a plan-time value of the column with this ordinal."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("ordinal"))
 
 
 def _table_snapshot(
@@ -43,13 +46,11 @@ def _table_snapshot(
 ) -> DataFrame:
     df = select_by_prefix(df, exclude=exclude)
     ordinals = {c: i for i, c in enumerate(df.columns)}
-    names = F.create_map(
-        *[F.lit(x) for c, i in ordinals.items() for x in (i, _type_name(df.schema[c].dataType))]
-    )
-    values = F.array_sort(F.collect_list("value"))
-    by_column = _cells(_head(df, SNAPSHOT_ROWS, order_by), ordinals).groupBy("ordinal", "name").agg(
-        values.alias("values")
-    )
+    # one row, with as many values per column as there are first rows
+    values = F.array(*[F.array_sort(F.collect_list(named(c).cast("string"))) for c in ordinals])
+    by_column = _head(df, SNAPSHOT_ROWS, order_by).agg(values.alias("columns"))
+    by_column = by_column.select(F.posexplode("columns").alias("ordinal", "values"))
+    by_column = by_column.withColumn("name", _by_ordinal({i: c for c, i in ordinals.items()}))
 
     def draw(i: Column) -> Column:
         pick = F.pmod(F.xxhash64(F.lit(seed), F.lit(table), "name", i), F.size("values"))
@@ -62,7 +63,7 @@ def _table_snapshot(
         F.lit(table).alias("table_name"),
         "ordinal",
         "name",
-        F.element_at(names, F.col("ordinal")).alias("datatype"),
+        _by_ordinal({i: _type_name(df.schema[c].dataType) for c, i in ordinals.items()}).alias("datatype"),
         samples.alias("samples"),
     )
 
@@ -127,27 +128,25 @@ def table_spec(
     schema = "ordinal int, name string, type string, setting string, value string, number double"
     result = spark.createDataFrame(fixed, schema)
     if sampled:
-        doubles = {n for n in sampled if isinstance(df.schema[n].dataType, T.DoubleType)}
-        columns = [
-            (ordinals[n], n, kind, setting, None if n in doubles else "")
-            for n, (kind, setting) in sampled.items()
-        ]
-        columns = spark.createDataFrame(columns, "ordinal int, name string, type string, setting string, none string")
-        if "id" in sampled and sampled["id"][1] == "prefixes":
+        doubles = [ordinals[n] for n in sampled if isinstance(df.schema[n].dataType, T.DoubleType)]
+        if table == "nodes" and "id" in sampled:
             df = df.withColumn("id", _prefix(named("id").cast("string")))
         cells = _cells(df, {n: ordinals[n] for n in sampled}).where("value is not null")
-        distinct = cells.groupBy("ordinal", "value").agg(F.lit(True).alias("found"))
-        is_double = F.col("ordinal").isin([ordinals[n] for n in doubles] or [-2])
-        number = F.when(is_double, F.col("value").try_cast("double"))
+        values = cells.groupBy("ordinal", "value").agg(F.lit(True).alias("found"))
         # a text column without values lists one empty text, a number column nothing
+        empty = [(ordinals[n], None if ordinals[n] in doubles else "") for n in sampled]
+        empty = spark.createDataFrame(empty, "ordinal int, value string")
+        empty = empty.join(values.select("ordinal").distinct(), "ordinal", "left_anti")
+        values = values.select("ordinal", "value").unionAll(empty)
+        is_double = F.col("ordinal").isin(doubles)
         result = result.unionAll(
-            columns.join(distinct, "ordinal", "left").select(
+            values.select(
                 "ordinal",
-                "name",
-                "type",
-                "setting",
-                F.coalesce("value", "none").alias("value"),
-                number.alias("number"),
+                _by_ordinal({ordinals[n]: n for n in sampled}).alias("name"),
+                _by_ordinal({ordinals[n]: kind for n, (kind, _) in sampled.items()}).alias("type"),
+                _by_ordinal({ordinals[n]: setting for n, (_, setting) in sampled.items()}).alias("setting"),
+                "value",
+                F.when(is_double, F.col("value").try_cast("double")).alias("number"),
             )
         )
     return result.select(F.lit(table).alias("table_name"), "*")

@@ -125,3 +125,10 @@ def test_whole_table_values(spark, rows):
     found = plans.table_spec(nodes, "nodes", 1)
     assert rows(found.where("name = 'score'"), "number", "value") == [(1.0, "1.0"), (10.5, "10.5"), (2.0, "2.0")]
     assert rows(found.where("name = 'id'"), "value") == [("A",), ("B",), ("Z",)]
+
+
+def test_snapshot_of_empty_tables(spark, rows):
+    nodes, edges = graph(spark)
+    found = plans.schema_snapshot(nodes.where("id = ''"), edges.where("subject = ''"))
+    assert rows(found, "name", "samples")[:2] == [("_hidden", []), ("agent_type", [])]
+    assert found.count() == 10
