@@ -60,7 +60,8 @@ def fix_delimiter(spark: SparkSession, input: str, output: str, column: str) ->
 def bool_columns_to_labels(
     spark: SparkSession, input: str, output: str, families: Iterable[str] = vocab.LABEL_FAMILIES
 ) -> None:
-    sinks.write_unquoted(ops.bool_columns_to_labels(sources.read_lines_tsv(spark, input), families), output)
+    names, lines = sources.read_line_fields(spark, input)
+    sinks.write_unquoted(ops.line_labels(lines, names, families), output)
 
 
 def endpoint_check(spark: SparkSession, nodes: str, edges: str) -> DataFrame:

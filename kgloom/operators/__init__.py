@@ -10,7 +10,7 @@ from .columns import (
 from .counts import file_shapes, head_tail_counts, table_shape, top_counts, value_counts, wide_counts
 from .endpoints import endpoint_check, endpoint_ids, rows_with_either_id, rows_with_id
 from .first import keep_first
-from .labels import bool_columns_to_labels
+from .labels import bool_columns_to_labels, line_labels
 from .merge import merge_tables
 from .rewrite import id_map, rewrite_endpoints
 from .substring import ids_containing, rows_containing
@@ -30,6 +30,7 @@ __all__ = [
     "id_map",
     "ids_containing",
     "keep_first",
+    "line_labels",
     "merge_tables",
     "rewrite_endpoints",
     "rows_containing",

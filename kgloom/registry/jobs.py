@@ -12,7 +12,7 @@ from .. import plans, sinks, sources
 from ..functions import text
 from ..functions.curie import edge_curie
 from ..functions.vocab import PIPE, UNIT_SEPARATOR
-from ..session import scratch_path
+from ..session import materialized, scratch_path
 from . import inputs as I
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.build_edges(I.load(spark, sf_dir, I.RELATION_TABLE))
 
 
+def stored_edges(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The same edges as a written table, for jobs that pass over them twice."""
+    edges = graph_edges(spark, sf_dir)
+    return materialized(edges.select(*columns) if columns else edges, "graph-edges")
+
+
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.load(spark, sf_dir, I.GRAPH_NODES)
 
@@ -132,13 +138,13 @@ def connected_nodes(spark, sf_dir):
 
 
 def _sample(spark, sf_dir, match):
-    nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
+    nodes, edges = graph_nodes(spark, sf_dir), stored_edges(spark, sf_dir, *EDGE_KEYS)
     return plans.sample_subgraph(nodes, edges, SAMPLE_SIZE, match=match)
 
 
 @job
 def sample_edges_substring(spark, sf_dir):
-    return _sample(spark, sf_dir, "substring")[1].select(*EDGE_KEYS)
+    return _sample(spark, sf_dir, "substring")[1]
 
 
 @job
@@ -148,7 +154,7 @@ def sample_nodes_substring(spark, sf_dir):
 
 @job
 def sample_edges_exact(spark, sf_dir):
-    return _sample(spark, sf_dir, "exact")[1].select(*EDGE_KEYS)
+    return _sample(spark, sf_dir, "exact")[1]
 
 
 @job
@@ -236,6 +242,14 @@ def bool_to_labels(spark, sf_dir):
     return ops.bool_columns_to_labels(I.load(spark, sf_dir, I.ONE_HOT_NODES))
 
 
+@job
+def bool_lines_to_labels(spark, sf_dir):
+    """The same from the lines of an unquoted file."""
+    path = _written(spark, I.load(spark, sf_dir, I.ONE_HOT_NODES), "one-hot", sinks.write_unquoted)
+    names, lines = sources.read_line_fields(spark, path)
+    return ops.line_labels(lines, names)
+
+
 @job
 def keep_first(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
@@ -560,21 +574,26 @@ def schema_snapshot_columns(spark, sf_dir):
     )
 
 
-def _spec(spark, sf_dir, snapshot=None):
+def _spec(spark, sf_dir):
     nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
-    return plans.generation_spec(nodes, edges, snapshot=snapshot, order_by=EDGE_KEYS)
+    return plans.generation_spec(nodes, edges, order_by=EDGE_KEYS)
+
+
+SPEC_COLUMNS = ["table_name", "name", "type", "setting", "value"]
 
 
 @job
 def generation_spec_values(spark, sf_dir):
-    return _spec(spark, sf_dir).select("table_name", "name", "type", "setting", "value")
+    return _spec(spark, sf_dir).select(*SPEC_COLUMNS)
 
 
 @job
 def generation_spec_snapshot(spark, sf_dir):
-    nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
-    kept = plans.schema_snapshot(nodes, edges, nodes_exclude=["_", "name"], edges_exclude=["original", "subject_a", "subject_d", "object_"])
-    return _spec(spark, sf_dir, kept).select("table_name", "name", "type", "setting", "value")
+    nodes, edges = graph_nodes(spark, sf_dir), stored_edges(spark, sf_dir)
+    left_out = ["original", "subject_a", "subject_d", "object_"]
+    kept = plans.schema_snapshot(nodes, edges, nodes_exclude=["_", "name"], edges_exclude=left_out)
+    spec = plans.generation_spec(nodes, edges, snapshot=kept, order_by=EDGE_KEYS)
+    return spec.select(*SPEC_COLUMNS)
 
 
 @job

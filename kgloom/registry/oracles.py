@@ -326,4 +326,5 @@ ORACLES: dict[str, str] = {
     "list_repeats": """SELECT doc_id, array_to_string(list_filter(string_split(text, ' '),
   lambda x, i: i = 1 OR x <> string_split(text, ' ')[i - 1]), '|') words FROM documents""",
 }
+ORACLES["bool_lines_to_labels"] = ORACLES["bool_to_labels"]
 ORACLES["merge_nodes_fast"] = ORACLES["merge_nodes"]

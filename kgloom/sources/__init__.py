@@ -3,6 +3,7 @@ from .delimited import (
     read_delimited,
     read_kgx_edges,
     read_kgx_nodes,
+    read_line_fields,
     read_lines_tsv,
     read_many,
     read_raw_edges,
@@ -19,6 +20,7 @@ __all__ = [
     "read_delimited",
     "read_kgx_edges",
     "read_kgx_nodes",
+    "read_line_fields",
     "read_lines_tsv",
     "read_many",
     "read_normalization",

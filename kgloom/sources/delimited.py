@@ -113,16 +113,23 @@ def _scan_strict_width(
     return rows.select(*cells)
 
 
-def read_lines_tsv(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
-    """Scan in which quotes are data: a missing field is null, an empty one ``''``.
+def read_line_fields(spark: SparkSession, path: str | list[str], sep: str = "\t") -> tuple[list[str], DataFrame]:
+    """(names of the first file's header, lines split into one ``fields`` array).
 
-    The names come from the first file's header. Lines holding nothing but blanks
-    are skipped.
+    Quotes are data. Lines holding nothing but blanks are skipped. One array
+    instead of columns keeps plans small for headers of thousands of names.
     """
     lines = _reader(spark, _WHOLE_LINE, quote="").csv(_paths(path))
-    names = lines.columns[0].split(sep)
-    fields = lines.toDF("line").select(F.split("line", "\\Q" + sep + "\\E", -1).alias("fields"))
-    return fields.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    if not lines.columns:
+        raise ValueError(f"no header in {path}")
+    fields = F.split("line", "\\Q" + sep + "\\E", -1)
+    return lines.columns[0].split(sep), lines.toDF("line").select(fields.alias("fields"))
+
+
+def read_lines_tsv(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
+    """Scan in which quotes are data: a missing field is null, an empty one ``''``."""
+    names, lines = read_line_fields(spark, path, sep)
+    return lines.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def _leading(df: DataFrame, names: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 
 from kgloom import operators as ops
+from kgloom import sources
 from kgloom.functions import vocab
 
 
@@ -76,5 +77,15 @@ def test_labels_of_a_very_wide_table(spark, rows):
     assert rows(done) == [("a", "7|1007|2007", "")]
 
 
+def test_labels_of_lines(spark, tmp_path, rows):
+    names = [f"CHEBI_ROLE_{i}:boolean" for i in range(5000)] + ["id:ID", "MONDO_SUPERCLASS_:x", "CHEBI_ROLE_none"]
+    cells = ["true" if i % 1000 == 7 else "false" for i in range(5000)] + ['"a', "true", "true"]
+    path = tmp_path / "wide.tsv"
+    path.write_text("\t".join(names) + "\n" + "\t".join(cells) + "\nfalse\n")
+    done = ops.line_labels(*reversed(sources.read_line_fields(spark, str(path))))
+    assert done.columns == ["id", "CHEBI_ROLE", "MONDO_SUPERCLASS"]
+    assert rows(done) == [(None, "", ""), ('"a', "7|1007|2007|3007|4007", "")]
+
+
 def test_labels_without_members(spark, rows):
     assert rows(ops.bool_columns_to_labels(frame(spark, ["id"], ("1",)))) == [("1", "", "")]

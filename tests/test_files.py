@@ -44,6 +44,12 @@ def test_strict_width(spark, tmp_path):
         wide = write(tmp_path, "a\tb\n" + extra, "wide.tsv")
         with pytest.raises(Exception, match="more fields"):
             sources.read_delimited(spark, wide, ragged="error").select("a").collect()
+        with pytest.raises(Exception, match="more fields"):
+            sources.read_delimited(spark, wide, ragged="error").count()
+    quoted = write(tmp_path, 'a\tb\n"x\ty"\n"p""\t"\tq\n', "quoted.tsv")
+    assert [tuple(r) for r in sources.read_delimited(spark, quoted, ragged="error").collect()] == [
+        ("x\ty", None), ('p"\t', "q"),
+    ]
     with pytest.raises(ValueError):
         sources.read_delimited(spark, good, ragged="skip")
 
