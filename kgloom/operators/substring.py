@@ -26,22 +26,29 @@ def ids_containing(ids: DataFrame, patterns: DataFrame) -> DataFrame:
     """Distinct ``id`` values that contain any ``id`` of an unbounded pattern set.
 
     A text contains a pattern when one of its substrings equals it, and only
-    substrings as long as some pattern matter. So the distinct ids are cut into
-    substrings of the pattern lengths and matched by an equi join: exact, and
-    without comparing every id with every pattern.
+    substrings matter that begin with some pattern's first character and are as
+    long as a pattern beginning so. The distinct ids are cut into those and
+    matched by an equi join: exact, and without comparing every id with every
+    pattern.
     """
     wanted = patterns.select(named("id").alias("__piece")).where("__piece is not null").distinct()
-    lengths = wanted.select(F.array_sort(F.collect_set(F.length("__piece")))).scalar()
-    starts = F.sequence(F.lit(1), F.length("id") - F.col("__length") + 1)
+    # first character -> lengths; as large as the alphabet times the pattern lengths
+    heads = wanted.groupBy(F.substring("__piece", 1, 1).alias("head")).agg(
+        F.collect_set(F.length("__piece")).alias("lengths")
+    )
+    lengths = heads.select(F.map_from_entries(F.collect_list(F.struct("head", "lengths")))).scalar()
+    # place 0 stands for the empty pattern
+    places = F.explode(F.sequence(F.lit(0), F.length("id"))).alias("__place")
+    head = F.when(F.col("__place") == 0, F.lit("")).otherwise(F.substring("id", F.col("__place"), F.lit(1)))
     pieces = (
         ids.select("id")
         .where("id is not null")
         .distinct()
         .withColumn("__lengths", lengths)
-        .select("id", F.explode("__lengths").alias("__length"))
-        .where(F.length("id") >= F.col("__length"))
-        .select("id", "__length", F.explode(starts).alias("__start"))
-        .select("id", F.substring("id", F.col("__start"), F.col("__length")).alias("__piece"))
+        .select("id", "__lengths", places)
+        .select("id", "__place", F.explode(F.try_element_at("__lengths", head)).alias("__length"))
+        .where(F.col("__place") + F.col("__length") <= F.length("id") + 1)
+        .select("id", F.substring("id", F.col("__place"), F.col("__length")).alias("__piece"))
     )
     # a frequent piece, such as a shared prefix, only grows the left side
     wanted = wanted.select(own_shuffle(F.col("__piece")).alias("__wanted"))
