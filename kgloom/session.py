@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,16 +30,18 @@ def build_session(app_name: str = "kgloom", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="kgloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder the cluster names for checkpoints.
 
     Only a session that names none (a local test) falls back to a folder of
     this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="kgloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
