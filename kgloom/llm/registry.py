@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from .bpe import op8_bpe_round_trip
+from .chat import OP4_SQL, op4_chat_format
 from .langid import op5_language_id
 from .line_rules import OP9_SQL, op9_line_frequency_rules
+from .packing import op10_concatenate_and_cut
+from .warc_zip import OP7_SQL, op7_warc_zip
 
 QUERIES = {
+    "op4_chat_format": op4_chat_format,
     "op5_language_id": op5_language_id,
+    "op7_warc_zip": op7_warc_zip,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_line_frequency_rules": op9_line_frequency_rules,
+    "op10_concatenate_and_cut": op10_concatenate_and_cut,
 }
 
 ORACLES = {
+    "op4_chat_format": OP4_SQL,
+    "op7_warc_zip": OP7_SQL,
     "op9_line_frequency_rules": OP9_SQL,
 }
