@@ -7,9 +7,11 @@ from .chat import OP4_SQL, op4_chat_format
 from .langid import op5_language_id
 from .line_rules import OP9_SQL, op9_line_frequency_rules
 from .packing import op10_concatenate_and_cut
+from .toxicity import op2_toxicity
 from .warc_zip import OP7_SQL, op7_warc_zip
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_chat_format": op4_chat_format,
     "op5_language_id": op5_language_id,
     "op7_warc_zip": op7_warc_zip,
