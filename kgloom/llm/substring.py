@@ -13,7 +13,7 @@ occurs elsewhere too. Jobs on Spark:
 1. every document is parsed; symbol names are counted over the corpus, and a document gets
    back which of its symbols are shared;
 2. windows with an unshared symbol inside are out; the rest, some per cent on ordinary text
-   and all of what is repeated, are verified by 128-bit hashes of their words, counted in the
+   and all of what is repeated, are verified by 96-bit hashes of their words, counted in the
    same way;
 3. words covered by a repeated window are removed.
 
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, mixed, table, text_bytes, text_chunks
 
 WINDOW = 35
-ROUNDS, RUN_ROUNDS = 5, 2
+#: rounds, and those of them that name runs (later symbols side by side may be equal and just stay two)
+ROUNDS, RUN_ROUNDS = 5, 1
 #: symbols of more words than this pair no further
 OPEN_WORDS = 4
 #: names that one batch of documents gathers before it passes them on, and bytes of names by bucket
@@ -48,8 +49,12 @@ _ASK_NAMES = ["bucket", "name", "check", "docs", "doc", "place"]
 @lru_cache(maxsize=4)
 def _lane(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
-    inverse = pow(base, -1, 1 << 64)
-    return tuple(np.multiply.accumulate(np.concatenate([[1], np.full(size, b)]).astype(np.uint64)) for b in (base, inverse))
+    powers = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        factors = np.full(size + 1, b, np.uint64)
+        factors[0] = 1
+        powers.append(np.multiply.accumulate(factors))
+    return tuple(powers)
 
 
 def _stretch_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
@@ -184,9 +189,11 @@ class Asker:
     def __init__(self, buckets: int):
         self.buckets, self.parts, self.docs, self.size = buckets, [], [], 0
 
-    def add(self, keys: np.ndarray, doc: np.ndarray, name: np.ndarray, check: np.ndarray, place: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, doc: np.ndarray, name: np.ndarray, check: np.ndarray | None, place: np.ndarray) -> None:
         base = sum(map(len, self.docs))
         self.docs.append(keys)
+        if check is None:
+            check = np.zeros(len(name), "<u4")
         self.parts.append((name, check, (doc + base).astype(np.uint32), place.astype(np.uint32)))
         self.size += len(name)
 
@@ -216,7 +223,7 @@ class Asker:
                 local = local.astype(np.uint32)
                 if asks:
                     local[several[some]] = 0xFFFFFFFF
-                cells = [name[some].tobytes(), check[some].tobytes()] if asks else [None, None]
+                cells = [name[some].tobytes(), check[some].tobytes() if check.any() else b""] if asks else [None, None]
                 cells += [keys[used].tobytes(), local.tobytes(), place[some].tobytes()]
                 arrays = [pa.array([int(where[some[0]])], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)]
                 yield pa.RecordBatch.from_arrays(arrays, _ASK_NAMES)
@@ -241,16 +248,17 @@ def shared_places(asked: DataFrame, buckets: int) -> DataFrame:
                     yield from answers(known, local - base + len(known), places)
                 else:
                     names.append(np.frombuffer(name, "<u8"))
-                    checks.append(np.frombuffer(check, "<u8"))
+                    checks.append(np.frombuffer(check, "<u4"))
                     doc.append(local)
                     place.append(places)
         if not names:
             return
         name, check = np.concatenate(names), np.concatenate(checks)
         names, checks = [], []
-        order = np.lexsort((check, name)) if len(check) else np.argsort(name, kind="stable")
+        checked = len(check) == len(name)
+        order = np.lexsort((check, name)) if checked else np.argsort(name, kind="stable")
         same = name[order][1:] == name[order][:-1]
-        if len(check):
+        if checked:
             same &= check[order][1:] == check[order][:-1]
         several = np.zeros(len(name), bool)
         several[:-1] |= same
@@ -304,7 +312,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             words = Words(piece.column("text"))
             symbols, useful = parsed(words, window, words.hashes(0))
             ordinal = np.arange(len(symbols.name)) - np.searchsorted(symbols.doc, symbols.doc)
-            asker.add(_keys(piece), symbols.doc[useful], symbols.name[useful], np.zeros(len(useful), np.uint8), ordinal[useful])
+            asker.add(_keys(piece), symbols.doc[useful], symbols.name[useful], None, ordinal[useful])
             if asker.size >= BATCH_NAMES:
                 yield from asker.rows()
         yield from asker.rows()
@@ -320,7 +328,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = candidate_windows(words, symbols, useful[~shared[useful]], window)
             if len(at):
                 name = _stretch_hashes(names, at, at + window, 0xD1342543DE82EF95)
-                check = _stretch_hashes(words.hashes(1), at, at + window, 0xAF251AF3B0F025B5)
+                check = (_stretch_hashes(words.hashes(1), at, at + window, 0xAF251AF3B0F025B5) >> np.uint64(32)).astype("<u4")
                 asker.add(_keys(piece), words.doc[at], name, check, at - words.firsts[words.doc[at]])
             if asker.size >= BATCH_NAMES:
                 yield from asker.rows()
