@@ -30,6 +30,11 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(crc % parts == part, F.lit(False))
 
 
+def row_keys() -> tuple[Column, Column]:
+    """Two hashes of a document's id and text, which together name a row; equal rows share them."""
+    return F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece hold about ``limit`` bytes (one long text stands alone)."""
     for batch in batches:

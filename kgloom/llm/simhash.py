@@ -21,13 +21,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kgloom.operators.keys import own_shuffle
 from kgloom.session import materialized
 
-from .common import map_arrow, mixed, numbered_parts, table, text_chunks
+from .common import map_arrow, mixed, numbered_parts, row_keys, table, text_chunks
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -56,7 +56,7 @@ def shingle_hashes(text: str | None) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of each row of ``docs`` (doc_id, text); texts without a word, and null texts, have fingerprint 0."""
+    """(doc_id, k1, k2, fp) of each row of ``docs`` (doc_id, text); texts without a word, and null texts, have fingerprint 0."""
 
     def run(batches):
         for piece in text_chunks(batches, "text"):
@@ -68,9 +68,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     bits = np.unpackbits(h[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     ones += bits.sum(axis=0, dtype=np.int32)
                 fps[i] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            keys = [piece.column(n) for n in ("doc_id", "k1", "k2")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(fps.view(np.int64))], ["doc_id", "k1", "k2", "fp"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    rows = docs.select("doc_id", *row_keys(), "text")
+    return map_arrow(rows, run, f"doc_id {dict(docs.dtypes)['doc_id']}, k1 long, k2 long, fp long")
 
 
 def embedded(fps: np.ndarray) -> np.ndarray:
@@ -168,7 +170,7 @@ def links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, root, component_id) of each row of ``docs`` (doc_id, text; other columns are ignored).
+    """(doc_id, k1, k2, fp, root, component_id) of each row of ``docs`` (doc_id, text; other columns are ignored).
 
     ``root`` is one fingerprint of the component, ``component_id`` its smallest doc_id (null if it has none).
     """
@@ -183,13 +185,17 @@ def near_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` (any columns) without near copies: of each component one row stays, one with its smallest id
-    (of several such rows, one of those with the smallest fingerprint, by a hash of the text)."""
-    groups = near_groups(docs, max_bits)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min("fp").alias("fp"))
-    stays = first.select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"), own_shuffle(F.col("doc_id")).alias("__key"))
-    del stays
-    return docs
+    """Rows of ``docs`` (any columns) without near copies: of each component one row stays, one with its smallest id.
+
+    Of rows with equal id and text one stays, whatever else they hold; rows without an id stay only in a component
+    that has no id at all.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2")
+    stays = near_groups(docs, max_bits).groupBy("root").agg(F.min(order).alias("row")).select("row.k1", "row.k2")
+    # equal rows first: the limit to one applies before the shuffle, and the join needs no other one
+    keyed = docs.withColumns(dict(zip(("k1", "k2"), row_keys())))
+    once = keyed.withColumn("__n", F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))).where("__n = 1")
+    return once.join(stays, ["k1", "k2"], "left_semi").select(*docs.columns)
 
 
 def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mixed, table, text_bytes, text_chunks
+from .common import map_arrow, mixed, row_keys, table, text_bytes, text_chunks
 
 WINDOW = 35
 #: rounds, and those of them that name runs (later symbols side by side may be equal and just stay two)
@@ -297,14 +297,11 @@ def _places(piece: pa.RecordBatch, firsts: np.ndarray) -> np.ndarray:
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text, places) of each row of ``docs`` (doc_id, text; other columns are ignored): the first words of
-    its windows of ``window`` words whose sequence also starts elsewhere. Repeated rows repeat each other."""
+    """``docs`` (doc_id, text and any columns) with ``places``: the first words of each row's windows of ``window``
+    words whose sequence also starts elsewhere. Repeated rows repeat each other."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-int(size * 0.6) // BUCKET_BYTES))
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(
-        F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2"), "doc_id", text.alias("text")
-    )
+    keyed = docs.drop("places").withColumns(dict(zip(("k1", "k2"), row_keys())))
 
     def symbol_rows(batches):
         asker = Asker(buckets)
@@ -338,16 +335,17 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = shared_places(map_arrow(short, symbol_rows, _ASK), buckets)
     marked = short.join(shared, ["k1", "k2"], "left")
     repeated = shared_places(map_arrow(marked, window_rows, _ASK), buckets)
-    return keyed.join(repeated, ["k1", "k2"], "left").select("doc_id", "text", "places")
+    return keyed.join(repeated, ["k1", "k2"], "left").drop("k1", "k2")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) of each row of ``docs`` (doc_id, text; other columns are ignored): its words,
-    without those covered by a window that also starts elsewhere, joined by blanks. A null text has no words.
+    """``docs`` (doc_id, text and any columns) with n_words, n_removed and kept: its words without those covered by a
+    window that also starts elsewhere, joined by blanks. Columns of these names are replaced. A null text has no words.
 
     Windows are judged on the input, and every occurrence goes, so what is kept depends on no order.
     """
-    kind = dict(docs.dtypes)["doc_id"]
+    docs = docs.drop("n_words", "n_removed", "kept", "k1", "k2", "places")
+    names = docs.columns
 
     def run(batches):
         for piece in text_chunks(batches, "text"):
@@ -366,15 +364,17 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             n = np.diff(words.firsts)
             gone = n - np.array([int(stays[a:b].sum()) for a, b in zip(words.firsts, words.firsts[1:])], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(gone), pa.array(kept, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept"],
+                [*(piece.column(x) for x in names), pa.array(n.astype(np.int64)), pa.array(gone), pa.array(kept, pa.string())],
+                [*names, "n_words", "n_removed", "kept"],
             )
 
-    return map_arrow(removals(docs, window), run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    zero = F.lit(0).cast("long")
+    schema = docs.withColumns({"n_words": zero, "n_removed": zero, "kept": F.lit("")}).schema
+    return map_arrow(removals(docs, window), run, schema)
 
 
 def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = without_repeats(table(spark, sf_dir, "documents"))
+    found = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
