@@ -79,9 +79,11 @@ def in_ranges(docs: DataFrame, n_ranges: int) -> DataFrame:
     lowest = F.lit(-(1 << 63)).cast("long")
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), lowest).alias("k"))
     cuts = keyed.select(F.col("k").cast("double").alias("v")).approxQuantile("v", [i / n_ranges for i in range(1, n_ranges)], 0.2 / n_ranges) if n_ranges > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="v", outputCol="range")
-    ranged = cut.transform(keyed.withColumn("v", F.col("k").cast("double"))).withColumn("range", F.col("range").cast("int")).drop("v")
+    if cuts:
+        cut = Bucketizer(splits=[-float("inf"), *sorted(set(cuts)), float("inf")], inputCol="v", outputCol="range")
+        ranged = cut.transform(keyed.withColumn("v", F.col("k").cast("double"))).withColumn("range", F.col("range").cast("int")).drop("v")
+    else:
+        ranged = keyed.withColumn("range", F.lit(0))
     # one row a range: the id of its first document, wanted by the range above
     firsts = sorted((r["range"], r.k) for r in ranged.groupBy("range").agg(F.max("k").alias("k")).collect())
     wanted = [(k, firsts[(i + 1) % len(firsts)][0]) for i, (_, k) in enumerate(firsts)]

@@ -88,7 +88,7 @@ class LanguageModel:
         sums = np.stack(
             [np.bincount(owners, self.weights[ids, k], minlength=len(column)) for k in range(len(self.languages))], 1
         )
-        sums += self.prior
+        sums = sums + self.prior  # counts of no text at all are integers
         sums -= sums.max(1, keepdims=True)
         odds = np.exp(sums)
         odds /= odds.sum(1, keepdims=True)

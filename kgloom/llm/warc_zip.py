@@ -168,9 +168,9 @@ class ZipDirectory:
         """(start, length, entries) of the central directory."""
         base = max(0, self.size - (1 << 16) - 22)
         tail = self._read(base, self.size - base)
-        at = tail.rfind(b"PK\x05\x06")
+        at = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
         while at >= 0 and at + 22 + struct.unpack("<H", tail[at + 20 : at + 22])[0] != len(tail):
-            at = tail.rfind(b"PK\x05\x06", 0, at)  # the mark may stand in the file's comment
+            at = tail.rfind(b"PK\x05\x06", 0, at + 3)  # the mark may stand in the file's comment
         if at < 0:
             raise ValueError("no ZIP file")
         entries, length, start = struct.unpack("<HII", tail[at + 10 : at + 20])

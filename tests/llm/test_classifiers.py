@@ -1,0 +1,97 @@
+"""Language ID and toxicity: held-out accuracy, and what they do with odd rows."""
+
+import random
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from kgloom.llm import langid, toxicity
+
+TABLES = Path("/root/testdata/sf0.01")
+SYLLABLES = {"xx": ["ba", "ko", "ri", "tu", "sel"], "yy": ["ça", "éo", "vi", "mne", "ust"], "zz": ["щи", "ро", "ка", "ба"]}
+
+
+def language_rows(prose, n=40):
+    return [(i * 3 + k, prose(i * 3 + k, 40, s), lang) for i in range(n) for k, (lang, s) in enumerate(SYLLABLES.items())]
+
+
+def test_languages_are_told_apart(spark, prose, clashing_docs, no_docs):
+    rows = spark.createDataFrame(language_rows(prose), "doc_id long, text string, lang string")
+    model = langid.fit(rows.where("doc_id % 2 = 0"))
+    assert model.languages == sorted(SYLLABLES)
+    found = langid.predict(rows.where("doc_id % 2 = 1"), model).collect()
+    assert all(r.lang_pred == r.lang and 0 < r.score <= 1 for r in found)
+    odd = langid.predict(clashing_docs, model)
+    assert set(odd.columns) == set(clashing_docs.columns)
+    for r in odd.collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.lang_pred in SYLLABLES and 0 <= r.score <= 1
+    assert langid.predict(no_docs, model).count() == 0
+    assert langid.fit(no_docs) is None
+    assert {r.lang_pred for r in langid.predict(clashing_docs, None).collect()} == {"und"}
+    with pytest.raises(ValueError):
+        langid.fit(rows, max_languages=2)
+
+
+def test_ngrams_stay_within_a_text():
+    apart = langid.hashed_ngrams(pa.array(["ab", None, "", "cd"]))
+    assert apart[1].tolist() == [0, 3]
+    ids, owners = langid.hashed_ngrams(pa.array(["Straße éX", "straße ÉX"]))
+    assert sorted(ids[owners == 0]) == sorted(ids[owners == 1])
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="test tables are missing")
+def test_held_out_languages(spark):
+    found = langid.op5_language_id(spark, str(TABLES)).join(spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right = found.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+def toxic_rows(prose, n=400):
+    draw = random.Random(3)
+    rows, labels = [], []
+    for i in range(n):
+        words = prose(i, 60).split()
+        bad = i % 4 == 0
+        if bad:
+            for w in draw.sample(["wretched", "vermin", "dimwit", "foulmouth"], 3):
+                words.insert(draw.randrange(len(words)), w)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def test_toxic_texts_are_found(spark, prose, clashing_docs, no_docs):
+    rows, labels = toxic_rows(prose)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([*labels, (None, 1), (3, None), (4, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(docs.where("doc_id % 3 <> 1"), known, segment_share=0.02)
+    assert b" vermin " in model.toxic
+    found = {r.doc_id: r for r in toxicity.predict(docs.where("doc_id % 3 = 1"), model).collect()}
+    truth = dict(labels)
+    assert np.mean([r.predicted == truth[i] for i, r in found.items()]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in found.values())
+    odd = toxicity.predict(clashing_docs, model)
+    assert odd.count() == clashing_docs.count() and set(odd.columns) == set(clashing_docs.columns)
+    assert len({r.score for r in odd.where("doc_id in (1, 2, 3)").collect()}) == 1
+    assert toxicity.predict(no_docs, model).count() == 0
+    unable = toxicity.fit(docs, known.where("toxic = 0"))
+    assert not unable.able and {r.score for r in toxicity.predict(docs.limit(3), unable).collect()} == {0.0}
+
+
+def test_windows_hold_every_word():
+    text = " ".join(f"w{i}" for i in range(50)).encode()
+    assert b"".join(toxicity.windows(text)).split() == text.split()
+    assert toxicity.windows(b" \n ") == []
+
+
+def test_logistic_fits_odds():
+    x = np.array([[1.0, 0.0], [1.0, 1.0]] * 500)
+    y = np.array([0, 1] * 450 + [1, 0] * 50, float)
+    b = toxicity._logistic(x, y, np.ones(len(y)))
+    assert abs(1 / (1 + np.exp(-b[0])) - 0.1) < 0.01 and abs(1 / (1 + np.exp(-b.sum())) - 0.9) < 0.01

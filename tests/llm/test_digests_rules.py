@@ -1,0 +1,93 @@
+"""Quartile digests and line rules against plain versions."""
+
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from kgloom.llm import fingerprints, line_rules
+
+duckdb = pytest.importorskip("duckdb")
+
+
+def order(r):
+    return (r[0] is None, -(r[0] or 0))
+
+
+def test_next_and_edited(spark, edge_docs, clashing_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 20_000)  # several ranges
+    rows = sorted([tuple(r)[:2] for r in edge_docs.collect()], key=order)
+    for docs in (edge_docs.repartition(4), clashing_docs):
+        found = fingerprints.compare_with_next(docs).collect()
+        got = Counter((r.doc_id, r.n_chars, r.edited) for r in found)
+        want = Counter()
+        for i, (doc, text) in enumerate(rows):
+            text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
+            want[doc, len(text), text[: len(text) - len(text) // 2] + after[: len(text) // 2]] += 1
+        assert got == want
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+        by_text = {}
+        for r in found:
+            by_text.setdefault(dict(rows).get(r.doc_id), set()).add(r.fingerprint)
+        assert all(len(x) == 1 for x in by_text.values())
+    assert fingerprints.compare_with_next(no_docs).count() == 0
+    alone = fingerprints.compare_with_next(edge_docs.where("doc_id = 9")).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1.0
+
+
+def test_counts_and_likeness():
+    texts = pa.array(["abcdefghijklmn" * 20, "abcdefghijklmn" * 20, None, "short", "zyxwvutsrqponm" * 20])
+    counts = fingerprints.bucket_counts(texts)
+    assert counts.sum(1).tolist() == [280 - 8, 280 - 8, 0, 0, 280 - 8]
+    found = fingerprints.digests(texts)
+    like = lambda a, b: float(fingerprints.likeness(found[[a]], found[[b]])[0])
+    assert like(0, 1) == 1.0 and like(0, 4) < 0.95 and like(0, 2) < 1.0
+    assert len(set(fingerprints.hexadecimal(found)[:2])) == 1
+
+
+def test_half_an_edit_is_nearer_than_another_text(prose):
+    texts = [prose(i, 400) for i in range(40)]
+    edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, texts[1:])]
+    a, e = fingerprints.digests(pa.array(texts)), fingerprints.digests(pa.array(edited))
+    assert np.mean(fingerprints.likeness(a[:-1], e) > fingerprints.likeness(a[:-1], a[1:])) == 1.0
+
+
+def test_line_rules_match_sql(spark, edge_docs, tmp_path):
+    rows = [tuple(r) for r in edge_docs.collect()]
+    body = " ".join(f"word{i}" for i in range(60))
+    rows += [(100 + i, f"Menu  Home\n{body} {i}\nMENU home \n\n", "en", "hot" if i % 2 else None, 1) for i in range(60)]
+    rows += [(300 + i, f"{body}\nonly {i}", "en", "hot", 1) for i in range(25)]
+    rows += [(400, "a b c a b c a b a b c d " * 8, "en", "x", 1), (401, "#*$ %&| <> \\ # \n" * 30, "en", "x", 1), (402, "l 1\nl 1\r\nl 1\n \nl 1", "en", "x", 1)]
+    docs = spark.createDataFrame(rows, edge_docs.schema)
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = line_rules.op9_line_frequency_rules(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = db.execute(line_rules.OP9_SQL)
+    names = [d[0] for d in cursor.description]
+    assert set(names) == set(got.columns)
+    assert Counter(tuple(r) for r in got.select(names).collect()) == Counter(cursor.fetchall())
+    verdict = {r.doc_id: r for r in got.collect()}
+    assert verdict[101].n_removed_words == 4 and verdict[101].kept
+    assert verdict[300].n_removed_words == 60 and not verdict[300].kept
+
+
+def test_repeated_windows(spark):
+    texts = ["a b c d a b c", "x x x x", "a b", "", "a a a", "p q r s p q r s p q", "one two three"]
+    docs = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id int, text string, source string")
+    got = {r.doc_id: r.n_repeat_words for r in line_rules.quality_rules(docs).collect()}
+    for i, t in enumerate(texts):
+        ws = t.split()
+        seen = Counter(tuple(ws[j : j + 3]) for j in range(len(ws) - 2))
+        assert got[i] == len({k for j in range(len(ws) - 2) if seen[tuple(ws[j : j + 3])] > 1 for k in range(j, j + 3)})
+
+
+def test_odd_tables(clashing_docs, no_docs):
+    assert line_rules.quality_rules(clashing_docs).count() == clashing_docs.count()
+    assert line_rules.quality_rules(no_docs).count() == 0
+
+
+def test_no_python_in_the_plan(no_docs):
+    plan = line_rules.quality_rules(no_docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
