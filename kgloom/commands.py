@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from . import operators as ops
 from . import plans, sinks, sources
 from .functions import vocab
+from .session import materialized
 
 
 def build_edges(spark: SparkSession, kg: str, output: str, keep_overwritten: bool = False) -> None:
     """Relation table (comma separated) to edges; the first row in the file decides."""
     table = sources.with_ordinal(sources.read_delimited(spark, kg, sep=","))
     edges = plans.build_edges(table, order_by=["_ordinal"], keep_overwritten=keep_overwritten)
-    sinks.write_delimited(edges.drop("_ordinal"), output)
+    sinks.write_delimited(edges, output)
 
 
 def build_nodes(spark: SparkSession, nodes: str, drug_features: str, disease_features: str, output: str) -> None:
@@ -27,10 +28,10 @@ def build_nodes(spark: SparkSession, nodes: str, drug_features: str, disease_fea
     sinks.write_delimited(plans.build_nodes(*tables), output)
 
 
-def predicate_mappings(spark: SparkSession, kg: str) -> str:
-    """The mapping report as JSON text."""
+def predicate_mappings(spark: SparkSession, kg: str, output: str) -> None:
+    """The mapping report, one JSON object a line."""
     report = plans.predicate_mappings(sources.read_delimited(spark, kg, sep=","))
-    return sinks.json_array(report, ["relation", "display_relation"])
+    sinks.write_json(report.orderBy("relation", "display_relation"), output)
 
 
 def clean_nodes_header(spark: SparkSession, input: str, output: str) -> None:
@@ -49,7 +50,7 @@ def add_edge_columns(
     knowledge_level: str = "knowledge_assertion",
     agent_type: str = "data_analysis_pipeline",
 ) -> None:
-    edges = sources.read_delimited(spark, input, infer=True, ragged="error")
+    edges = sources.read_delimited(spark, input, ragged="error")
     sinks.write_delimited(ops.add_edge_columns(edges, primary_knowledge_source, knowledge_level, agent_type), output)
 
 
@@ -82,7 +83,7 @@ def sample_subgraph(
 ) -> None:
     names = sinks.sample_file_names(nodes.rstrip("/").rsplit("/", 1)[-1], size)
     tables = [sources.read_delimited(spark, p) for p in (nodes, edges)]
-    for sampled, name in zip(plans.sample_subgraph(*tables, size, random, seed, match), names):
+    for sampled, name in zip(plans.sample_subgraph(*tables, size, random, seed, match, materialize=True), names):
         sinks.write_delimited(sampled, f"{output_dir.rstrip('/')}/{name}")
 
 
@@ -105,11 +106,11 @@ def generation_spec(
     nodes: str,
     edges: str,
     output: str,
-    limit: int = 20,
+    limit: int | None = None,
     rows: int = 100,
     snapshot: str | None = None,
 ) -> None:
-    """YAML lines; with ``snapshot`` (a snapshot file) only its columns are described."""
+    """YAML lines over the whole tables, or over the first ``limit / 2`` edges and their nodes; with ``snapshot`` (a snapshot file) only its columns are described."""
     tables = [sources.read_delimited(spark, p, infer=True) for p in (nodes, edges)]
     columns = sources.read_snapshot(spark, snapshot) if snapshot else None
     sinks.write_lines(plans.spec_lines(plans.generation_spec(*tables, limit, rows, columns)), output)
@@ -137,42 +138,55 @@ def file_shapes(spark: SparkSession, inputs: list[str]) -> DataFrame:
 
 def clean_graph(
     spark: SparkSession,
-    nodes: str,
-    edges: str,
+    nodes: str | list[str],
+    edges: str | list[str],
     normalization: str,
     term_ancestors: str,
     output: str,
     predicate_info: str | None = None,
+    category_info: str | None = None,
+    categories: Iterable[str] = (),
 ) -> None:
-    """Raw node and edge files to ``output``/nodes and ``output``/edges.
-
-    ``normalization`` holds JSON responses, ``term_ancestors`` a table of term and
-    pipe-delimited ancestors. With ``predicate_info`` the edge files are told
-    apart by their names.
+    """Raw node and edge files to ``output``/nodes and ``output``/edges, a folder for each input file there.
+
+    Every file is read by its own header. With ``category_info`` ``nodes`` is a
+    folder, and only the files of the ``categories`` are read, found by that
+    lookup. ``normalization`` holds JSON responses, ``term_ancestors`` a table of
+    term and pipe-delimited ancestors. With ``predicate_info`` the edge files are
+    told apart by their names. The first row of an identifier is the first in the
+    order of files and lines.
     """
-    raw_nodes = sources.read_raw_nodes(spark, nodes)
-    raw_edges = sources.read_raw_edges(spark, edges)
-    patterns = None
-    if predicate_info:
-        patterns = sources.read_predicate_info(spark, predicate_info)
-        name = F.regexp_replace(F.col("_metadata.file_name"), r"\.tsv$", "")
-        raw_edges = raw_edges.withColumn("file", name)
+    if category_info:
+        # as many rows as there are categories
+        found = sources.read_category_info(spark, category_info, list(categories))
+        files = sorted({r.file for r in found.select("file").collect()})
+        nodes = [f"{nodes.rstrip('/')}/{f}.tsv" for f in files]
+    raw_nodes = sources.read_raw_nodes(spark, nodes, file="file")
+    raw_edges = sources.read_raw_edges(spark, edges, file="file")
+    patterns = sources.read_predicate_info(spark, predicate_info) if predicate_info else None
     terms = sources.read_delimited(spark, term_ancestors)
     terms = terms.withColumn("ancestors", F.split("ancestors", r"\|"))
     found = sources.read_normalization(spark, normalization).select("identifier", "types")
-    done = plans.clean_graph(raw_nodes, raw_edges, found, terms, patterns)
+    done = plans.clean_graph(raw_nodes, raw_edges, found, terms, patterns, order_by=["file", "id"])
     for table, name in zip(done, ("nodes", "edges")):
-        sinks.write_unquoted(table, f"{output.rstrip('/')}/{name}")
+        sinks.write_unquoted(table, f"{output.rstrip('/')}/{name}", by="file")
+
+
+def _hot(tables: list[DataFrame], keys: list[str], unique_keys: bool) -> DataFrame | None:
+    """The hot keys of the tables, written: the list is bounded, and the plan of many tables stays short."""
+    return None if unique_keys else materialized(ops.hot_keys(tables, keys), "hot-keys")
 
 
 def merge_edges(spark: SparkSession, inputs: list[str], output: str, unique_keys: bool = False) -> None:
-    tables = [sources.read_delimited(spark, p, infer=True) for p in inputs]
-    sinks.write_delimited(plans.merge_edges(tables, unique_keys), output)
+    """Merge edge files; cells are text and come out as they went in."""
+    tables = [sources.read_delimited(spark, p) for p in inputs]
+    hot = _hot(tables, ["subject", "predicate", "object"], unique_keys)
+    sinks.write_delimited(plans.merge_edges(tables, unique_keys, hot=hot), output)
 
 
 def merge_nodes(spark: SparkSession, inputs: list[str], output: str, unique_keys: bool = False) -> DataFrame:
     """Merge node files; returns the shape of the written table."""
-    tables = [sources.read_delimited(spark, p, infer=True) for p in inputs]
-    sinks.write_delimited(plans.merge_nodes(tables, unique_keys), output)
+    tables = [sources.read_delimited(spark, p) for p in inputs]
+    hot = _hot(tables, ["id", "category"], unique_keys)
+    sinks.write_delimited(plans.merge_nodes(tables, unique_keys, hot=hot), output)
     return ops.table_shape(sources.read_delimited(spark, output))
-

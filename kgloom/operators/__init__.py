@@ -11,9 +11,9 @@ from .counts import file_shapes, head_tail_counts, table_shape, top_counts, valu
 from .endpoints import endpoint_check, endpoint_ids, rows_with_either_id, rows_with_id
 from .first import keep_first
 from .labels import bool_columns_to_labels, line_labels
-from .merge import merge_tables
+from .merge import hot_keys, merge_tables
 from .rewrite import id_map, rewrite_endpoints
-from .substring import ids_containing, rows_containing
+from .substring import ids_containing
 
 __all__ = [
     "add_edge_columns",
@@ -31,9 +31,9 @@ __all__ = [
     "ids_containing",
     "keep_first",
     "line_labels",
+    "hot_keys",
     "merge_tables",
     "rewrite_endpoints",
-    "rows_containing",
     "rows_with_either_id",
     "rows_with_id",
     "select_by_prefix",

@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import named
 
-# Most keys that may be split: a key with more than 1/4096 of the rows is always
-# among the 4096 most frequent ones, so this bounds the broadcast, not the result.
-SPLIT_KEYS = 4096
-
 Layout = dict[str, list[tuple[int, str]]]
 
 
@@ -49,7 +45,8 @@ def merge_tables(
     coalesce: Iterable[str] = (),
     leading: list[str] | None = None,
     unique_keys: bool = False,
-    split_rows: int = 1_000_000,
+    split_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Full outer merge of ``dfs`` on ``keys``, equal to joining them one by one.
 
@@ -60,8 +57,9 @@ def merge_tables(
     time): one shuffle and one aggregation. Otherwise duplicates multiply as in
     a join: the distinct keys are the spine, and every table is left joined to
     it, so each table is shuffled once and no intermediate result is reshuffled.
-    A key with more than ``split_rows`` rows in one table is spread over several
-    join partitions.
+    The keys of ``hot`` are spread over several join partitions; by default
+    these are the ``hot_keys`` of the tables. Who merges many tables passes them
+    written (``session.materialized``), which keeps the plan short.
     """
     if not dfs:
         raise ValueError("nothing to merge")
@@ -72,7 +70,11 @@ def merge_tables(
     if unique_keys:
         merged = _merge_unique(present, keys, layout, types)
     else:
-        merged = _merge_joined(present, keys, layout, types, split_rows)
+        if hot is None:
+            hot = hot_keys(dfs, keys, split_rows)
+        if split_rows is None:  # bounded by partitions x tables
+            hot = F.broadcast(hot)
+        merged = _merge_joined(present, keys, layout, types, hot)
     for i, df in enumerate(dfs):
         if any(df.schema[k].nullable for k in keys):
             merged = merged.unionByName(_slots(df.where(~_all_present(keys)), i, keys, layout, types))
@@ -92,12 +94,12 @@ def _all_present(keys: list[str]) -> Column:
 
 
 def _common_type(dfs: list[DataFrame], cells: list[tuple[int, str]]) -> T.DataType:
-    """Type of a merged column: shared as is, mixed numbers double, else text."""
+    """Type of a merged column: shared as is, mixed whole numbers long, else text, which loses nothing."""
     found = {dfs[i].schema[c].dataType for i, c in cells}
     if len(found) == 1:
         return found.pop()
-    if found and all(isinstance(t, T.NumericType) for t in found):
-        return T.DoubleType()
+    if found and all(isinstance(t, T.IntegralType) for t in found):
+        return T.LongType()
     return T.StringType()
 
 
@@ -147,41 +149,56 @@ def _merge_unique(
     return merged.select(*[named(n) for n in layout])
 
 
+def hot_keys(dfs: list[DataFrame], keys: list[str], split_rows: int | None = None) -> DataFrame:
+    """Keys whose rows one join partition should not take alone: keys, __parts, __divided.
+
+    A key is hot when it holds more of a table's rows than an even share, the
+    table's rows by the session's shuffle partitions; it is divided into so many
+    parts. Of one table there are fewer such keys than partitions, so the list is
+    bounded by (partitions x tables) whatever the data. ``split_rows`` sets the
+    share as a number of rows instead, for whoever knows better.
+    ``__divided`` is the table whose rows are parted; the others repeat theirs.
+    """
+    dfs = [df.where(_all_present(keys)) for df in _with_shared_key_types(dfs, keys)]
+    sizes = _key_sizes(dfs, keys)
+    counts = [F.col(f"__n{i}") for i in range(len(dfs))]
+    if split_rows is not None:
+        shares = [F.lit(split_rows)] * len(dfs)
+    else:
+        partitions = int(dfs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        even = [F.greatest(F.ceil(F.sum(c) / partitions), F.lit(1)) for c in counts]
+        totals = sizes.agg(F.array(*even)).scalar()
+        sizes = sizes.withColumn("__shares", totals)
+        shares = [F.get("__shares", F.lit(i)) for i in range(len(dfs))]
+    parts = F.array(*[F.ceil(c / s).cast("int") for c, s in zip(counts, shares)])
+    found = sizes.select(*[named(k) for k in keys], parts.alias("__all")).withColumn("__parts", F.array_max("__all"))
+    divided = (F.array_position("__all", F.col("__parts")) - 1).cast("int")
+    return found.where("__parts > 1").select(*[named(k) for k in keys], "__parts", divided.alias("__divided"))
+
+
+def _key_sizes(dfs: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Distinct keys with their rows in each table (``__n0``, ``__n1``, ...)."""
+    key_columns = [named(k) for k in keys]
+    tagged = [df.select(*key_columns, F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
+    per_table = [F.count_if(F.col("__table") == i).alias(f"__n{i}") for i in range(len(dfs))]
+    sizes = reduce(DataFrame.unionAll, tagged).groupBy(*key_columns).agg(*per_table)
+    # always true, but it keeps the counters where only the keys are wanted, so that both uses share one shuffle
+    return sizes.where(F.array_max(F.array(*[F.col(f"__n{i}") for i in range(len(dfs))])) > 0)
+
+
 def _merge_joined(
     dfs: list[DataFrame],
     keys: list[str],
     layout: Layout,
     types: dict[str, T.DataType],
-    split_rows: int,
+    split: DataFrame,
 ) -> DataFrame:
     key_columns = [named(k) for k in keys]
-    tagged = [df.select(*key_columns, F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
-    per_table = [F.count_if(F.col("__table") == i).alias(f"__n{i}") for i in range(len(dfs))]
-    sizes = reduce(DataFrame.unionAll, tagged).groupBy(*key_columns).agg(*per_table)
-
-    counters = F.array(*[F.col(f"__n{i}") for i in range(len(dfs))])
-    # always true, but it keeps the counters in both uses of the sizes, so that
-    # they share one shuffle
-    sizes = sizes.where(F.array_max(counters) > 0)
-    frequent = sizes.select(*key_columns, F.array_max(counters).alias("__n"), counters.alias("__all"))
-    split = (
-        frequent.where(F.col("__n") > split_rows)
-        .orderBy(F.desc("__n"), *key_columns)
-        .limit(SPLIT_KEYS)
-        .select(
-            *key_columns,
-            F.ceil(F.col("__n") / split_rows).cast("int").alias("__parts"),
-            # the table whose rows are divided; the others repeat theirs per part
-            (F.array_position("__all", F.col("__n")) - 1).cast("int").alias("__divided"),
-        )
-    )
-    split = F.broadcast(split)
-
     def all_parts() -> Column:
         return F.sequence(F.lit(0), F.col("__parts") - 1)
 
     unsplit = F.array(F.lit(0))
-    spine = sizes.select(*key_columns).join(split, keys, "left")
+    spine = _key_sizes(dfs, keys).select(*key_columns).join(split, keys, "left")
     merged = spine.select(
         *key_columns,
         F.col("__divided").alias("__by"),

@@ -30,7 +30,7 @@ def rewrite_endpoints(
         key, value = f"__id{i}", f"__identifier{i}"
         lookup = mapping.select(own_shuffle(named("id")).alias(key), named("identifier").alias(value))
         edges = edges.join(lookup, named(column).cast("string") == F.col(key), "left")
-        edges = edges.withColumn(column, F.coalesce(value, named(column))).drop(key, value)
+        edges = edges.withColumn(column, F.coalesce(F.col(value), named(column).cast("string"))).drop(key, value)
     if prefix_predicate:
         edges = edges.withColumn("predicate", with_prefix(named("predicate")))
     return edges.select(*[named(c) for c in order])

@@ -2,54 +2,48 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
 from .keys import own_shuffle
 
 
-def rows_containing(df: DataFrame, columns: tuple[str, ...], patterns: DataFrame) -> DataFrame:
-    """Rows in which any of ``columns`` contains one of a few ``id`` patterns.
-
-    For pattern sets whose size the caller has bounded: they are broadcast and
-    tested in place, so the large side is neither exploded nor shuffled.
-    """
-    few = F.broadcast(patterns.select(named("id").alias("__pattern")))
-    tests = [named(c).contains(F.col("__pattern")) for c in columns]
-    return df.join(few, reduce(lambda a, b: a | b, tests), "left_semi")
+# Patterns are looked up by so many leading characters, shorter ones whole.
+ANCHOR = 4
 
 
 def ids_containing(ids: DataFrame, patterns: DataFrame) -> DataFrame:
     """Distinct ``id`` values that contain any ``id`` of an unbounded pattern set.
 
-    A text contains a pattern when one of its substrings equals it, and only
-    substrings matter that begin with some pattern's first character and are as
-    long as a pattern beginning so. The distinct ids are cut into those and
-    matched by an equi join: exact, and without comparing every id with every
-    pattern.
+    A text contains a pattern when one of its substrings equals it. Only those
+    substrings matter that begin like some pattern and are as long as a pattern
+    beginning so. So the beginnings at every place of the distinct ids are
+    matched with those of the patterns, the matching places cut to the lengths
+    found there, and the pieces matched with the patterns: two equi joins, and
+    no id is compared with every pattern.
     """
     wanted = patterns.select(named("id").alias("__piece")).where("__piece is not null").distinct()
-    # first character -> lengths; as large as the alphabet times the pattern lengths
-    heads = wanted.groupBy(F.substring("__piece", 1, 1).alias("head")).agg(
-        F.collect_set(F.length("__piece")).alias("lengths")
-    )
-    lengths = heads.select(F.map_from_entries(F.collect_list(F.struct("head", "lengths")))).scalar()
+    size = F.length("__piece")
+    heads = wanted.groupBy(F.substring("__piece", 1, ANCHOR).alias("__head")).agg(F.collect_set(size).alias("__lengths"))
+    heads = heads.select(own_shuffle(F.col("__head")).alias("__wanted_head"), "__lengths")
+    # lengths of the patterns shorter than an anchor: at most four numbers
+    short = wanted.where(size < ANCHOR).agg(F.collect_set(size)).scalar()
     # place 0 stands for the empty pattern
-    places = F.explode(F.sequence(F.lit(0), F.length("id"))).alias("__place")
-    head = F.when(F.col("__place") == 0, F.lit("")).otherwise(F.substring("id", F.col("__place"), F.lit(1)))
-    pieces = (
-        ids.select("id")
-        .where("id is not null")
-        .distinct()
-        .withColumn("__lengths", lengths)
-        .select("id", "__lengths", places)
-        .select("id", "__place", F.explode(F.try_element_at("__lengths", head)).alias("__length"))
-        .where(F.col("__place") + F.col("__length") <= F.length("id") + 1)
-        .select("id", F.substring("id", F.col("__place"), F.col("__length")).alias("__piece"))
-    )
+    whole = F.filter("__short", lambda n: n > 0)
+    reach = F.when(F.col("__place") == 0, F.array(F.lit(0))).otherwise(F.concat(whole, F.array(F.lit(ANCHOR))))
+
+    def cut(length: str) -> Column:
+        return F.substring("id", F.greatest("__place", F.lit(1)), F.col(length))
+
+    inside = F.col("__place") + F.col("__length") <= F.length("id") + 1
+    places = ids.select("id").where("id is not null").distinct().withColumn("__short", short)
+    places = places.select("id", "__short", F.explode(F.sequence(F.lit(0), F.length("id"))).alias("__place"))
+    begins = places.select("id", "__place", F.explode(reach).alias("__length")).where(inside)
+    begins = begins.select("id", "__place", cut("__length").alias("__head"))
     # a frequent piece, such as a shared prefix, only grows the left side
+    met = begins.join(heads, F.col("__head") == F.col("__wanted_head"))
+    pieces = met.select("id", "__place", F.explode("__lengths").alias("__length")).where(inside)
+    pieces = pieces.select("id", cut("__length").alias("__piece"))
     wanted = wanted.select(own_shuffle(F.col("__piece")).alias("__wanted"))
     return pieces.join(wanted, F.col("__piece") == F.col("__wanted"), "left_semi").select("id").distinct()

@@ -40,10 +40,12 @@ def build_edges(
     where rows of grouped ids come first, or else by relation and display
     relation. Either way the choice is an aggregate that combines before the one
     shuffle. ``keep_overwritten`` also emits the qualifiers a later rule blanks.
-    Columns beyond the relation table's own are kept from the deciding row.
+    Columns beyond the relation table's own are kept from the deciding row, but
+    for those named in ``order_by``.
     """
     qualifiers = QualifierRanks(keep_overwritten)
-    extra = [c for c in kg.columns if c not in vocab.RELATION_COLUMNS]
+    ordinals = [o for o in order_by or [] if isinstance(o, str)]
+    extra = [c for c in kg.columns if c not in vocab.RELATION_COLUMNS and c not in ordinals]
     in_source_order = order_by is not None
     if in_source_order:
         order = [named(o) if isinstance(o, str) else o for o in order_by]
@@ -96,7 +98,7 @@ def predicate_mappings(kg: DataFrame) -> DataFrame:
 
 
 def build_nodes(
-    nodes: DataFrame, drug_features: DataFrame, disease_features: DataFrame, split_rows: int = 1_000_000
+    nodes: DataFrame, drug_features: DataFrame, disease_features: DataFrame, split_rows: int | None = None
 ) -> DataFrame:
     """Nodes with their drug and disease features, joined fully on ``node_index``.
 

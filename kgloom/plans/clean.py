@@ -38,10 +38,15 @@ def normalize_nodes(
 
     ``normalization`` holds (identifier, types); where it has none, the ancestors
     of the raw category stand in. One row per category and identifier is kept,
-    the first by ``order_by``.
+    the first by ``order_by`` and then by its other columns; nodes without an
+    identifier all stay.
     """
     rest = [c for c in nodes.columns if c not in ("id", "category", "identifier")]
-    distinct = keep_first(nodes, ["category", "identifier"], list(order_by))
+    has_identifier = F.coalesce(F.col("identifier") != "", F.lit(False))
+    given = [c for c in order_by if isinstance(c, str)]
+    ties = [c for c in nodes.columns if c not in given]
+    distinct = keep_first(nodes.where(has_identifier), ["category", "identifier"], [*order_by, *ties])
+    distinct = distinct.unionAll(nodes.where(~has_identifier).select(*[named(c) for c in distinct.columns]))
     types = normalization.groupBy("identifier").agg(F.max("types").alias("__types"))
     ancestors = category_ancestors(nodes.sparkSession, term_ancestors, seeds)
     ancestors = F.broadcast(ancestors.withColumnRenamed("ancestors", "__ancestors"))
@@ -80,7 +85,7 @@ def rewrite_raw_edges(edges: DataFrame, nodes: DataFrame, predicate_info: DataFr
     joined = edges.join(about, F.col("file") == F.col("__file"), "left")
     joined = joined.join(mapping, F.col("subject") == F.col("__id"), "left")
     usable = F.filter("__known", lambda k: F.array_contains("__about", k["category"]))
-    replaced = F.coalesce(F.get(usable, F.lit(0))["identifier"], F.col("subject"))
+    replaced = F.coalesce(F.get(usable, F.lit(0))["identifier"], F.col("subject").cast("string"))
     return joined.withColumn("subject", replaced).select(*[named(c) for c in order])
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.endpoints import endpoint_ids, rows_with_either_id, rows_with_id
-from ..operators.substring import ids_containing, rows_containing
+from ..operators.substring import ids_containing
 from ..session import materialized
 
-# Up to this many patterns are broadcast and tested one by one.
-FEW_PATTERNS = 1_000
+# Hex digits of a hash that part the ids into ranges of it.
+RANGE_DIGITS = 4
 
 
 def first_ids(ids: DataFrame, size: int) -> DataFrame:
@@ -21,24 +21,26 @@ def first_ids(ids: DataFrame, size: int) -> DataFrame:
 def draw_ids(spark: SparkSession, ids: DataFrame, size: int, seed: int = 0) -> DataFrame:
     """``size`` draws with replacement from distinct ids, as (id, times).
 
-    The ids are ordered by a seeded hash and only the first ``size`` of them
-    are numbered. Each draw picks a number below the count of all ids; the
-    different numbers drawn are matched with the hash order from its start, as
-    any set of that many ids is equally likely. No id list leaves the plan.
+    The ids are numbered in the order of a seeded hash: ranges of the hash are
+    counted (at most 65,536 of them), their sums tell where each range begins,
+    and ids are numbered within their range. Draw ``k`` takes the number that a
+    hash of ``k`` points to, so equal seeds give equal draws. Neither ids nor
+    draws meet in one task.
     """
-    drawn = F.xxhash64(F.lit(seed), "id")
-    by_hash = Window.orderBy("__hash", "id")  # at most ``size`` rows reach it
-    chosen = (
-        ids.select("id", drawn.alias("__hash"))
-        .orderBy("__hash", "id")
-        .limit(size)
-        .withColumn("__number", F.row_number().over(by_hash))
-    )
-    total = ids.agg(F.count("*")).scalar()
-    draws = spark.range(0, size, 1, 1).select(F.floor(F.rand(seed) * total).alias("__pick"))
-    times = draws.groupBy("__pick").agg(F.count("*").alias("times"))
-    times = times.withColumn("__number", F.row_number().over(Window.orderBy("__pick")))
-    return chosen.join(times, "__number").select("id", "times")
+    named_ids = ids.select("id").where("id is not null")
+    hashed = named_ids.withColumn("__hash", F.md5(F.concat(F.lit(f"{seed}:"), "id")))
+    hashed = hashed.withColumn("__range", F.substring("__hash", 1, RANGE_DIGITS))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = hashed.groupBy("__range").agg(F.count("*").alias("__n"))
+    starts = starts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    within = Window.partitionBy("__range").orderBy("__hash", "id")
+    numbered = hashed.withColumn("__place", F.row_number().over(within)).join(F.broadcast(starts), "__range")
+    numbered = numbered.select("id", (F.col("__start") + F.col("__place") - 1).alias("__number"))
+    total = named_ids.agg(F.count("*")).scalar()
+    pointed = F.conv(F.substring(F.md5(F.concat(F.lit(f"draw:{seed}:"), F.col("id").cast("string"))), 1, 12), 16, 10)
+    draws = spark.range(size).select(pointed.cast("long").alias("__to"))
+    times = draws.select((F.col("__to") % F.nullif(total, F.lit(0))).alias("__number")).groupBy("__number").agg(F.count("*").alias("times"))
+    return numbered.join(times, "__number").select("id", "times")
 
 
 def sample_subgraph(
@@ -48,7 +50,7 @@ def sample_subgraph(
     random: bool = False,
     seed: int = 0,
     match: str = "substring",
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) around ``size`` endpoint ids, the first ones or drawn ones.
 
@@ -56,11 +58,11 @@ def sample_subgraph(
     id matches an endpoint of such an edge. ``substring`` matching lets an id
     select every longer text containing it; ``exact`` needs equality.
 
-    Substrings are searched in the distinct ids, not in the edges. Unless
-    ``materialize`` is off, the matching ids and the sampled edges are written
-    once to the shared folder: the joins on them then start from their true
-    size, and the edges, needed for their own output and for the nodes, are
-    computed once.
+    Substrings are searched in the distinct ids, not in the edges. With
+    ``materialize`` the matching ids and the sampled edges are written to the
+    shared folder at once: the joins on them then start from their true size,
+    and the edges, needed for their own output and for the nodes, are computed
+    once. Without, nothing runs here.
     """
     if match not in ("substring", "exact"):
         raise ValueError(f"match must be 'substring' or 'exact', not {match!r}")
@@ -71,9 +73,7 @@ def sample_subgraph(
         return materialized(df, label) if materialize else df
 
     if match == "substring":
-        few = size <= FEW_PATTERNS
-        chosen = rows_containing(ids, ("id",), chosen) if few else ids_containing(ids, chosen)
-        chosen = settled(chosen, "matching-ids")
+        chosen = settled(ids_containing(ids, chosen), "matching-ids")
     sampled = settled(rows_with_either_id(edges, chosen), "sampled-edges")
     ends = endpoint_ids(sampled)
     if match == "substring":

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocab
-from ..functions.text import before_colon, drop_repeats, named, round_half_up
+from ..functions.text import before_colon, named, round_half_up
 from ..operators.columns import select_by_prefix
 from ..operators.endpoints import endpoint_ids, rows_with_id
-from ..session import materialized
 
-SNAPSHOT_ROWS = 10
 SNAPSHOT_SAMPLES = 6
 COPY_SEED = 590590
 
@@ -24,9 +22,7 @@ def _type_name(kind: T.DataType) -> str:
 
 
 def _head(df: DataFrame, rows: int, order_by: Iterable[str] | None) -> DataFrame:
-    if order_by:
-        df = df.orderBy(*[named(c) for c in order_by])
-    return df.limit(rows)
+    return df.orderBy(*[named(c) for c in order_by or df.columns]).limit(rows)
 
 
 def _cells(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
@@ -41,30 +37,23 @@ def _by_ordinal(values: dict[int, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("ordinal"))
 
 
-def _table_snapshot(
-    df: DataFrame, table: str, exclude: Iterable[str], seed: int, order_by: Iterable[str] | None
-) -> DataFrame:
+def _table_snapshot(df: DataFrame, table: str, exclude: Iterable[str], seed: int) -> DataFrame:
     df = select_by_prefix(df, exclude=exclude)
     ordinals = {c: i for i, c in enumerate(df.columns)}
-    # one row, with as many values per column as there are first rows
-    values = F.array(*[F.array_sort(F.collect_list(named(c).cast("string"))) for c in ordinals])
-    by_column = _head(df, SNAPSHOT_ROWS, order_by).agg(values.alias("columns"))
-    by_column = by_column.select(F.posexplode("columns").alias("ordinal", "values"))
-    by_column = by_column.withColumn("name", _by_ordinal({i: c for c, i in ordinals.items()}))
-
-    def draw(i: Column) -> Column:
-        pick = F.pmod(F.xxhash64(F.lit(seed), F.lit(table), "name", i), F.size("values"))
-        return F.get("values", pick.cast("int"))
-
-    drawn = F.transform(F.sequence(F.lit(1), F.lit(SNAPSHOT_SAMPLES)), draw)
-    # without values there is nothing to draw
-    samples = F.when(F.size("values") > 0, drop_repeats(drawn)).otherwise(F.array().cast("array<string>"))
-    return by_column.select(
-        F.lit(table).alias("table_name"),
-        "ordinal",
-        "name",
-        _by_ordinal({i: _type_name(df.schema[c].dataType) for c, i in ordinals.items()}).alias("datatype"),
-        samples.alias("samples"),
+    header = [(table, i, c, _type_name(df.schema[c].dataType)) for c, i in ordinals.items()]
+    header = df.sparkSession.createDataFrame(header, "table_name string, ordinal int, name string, datatype string")
+    if not ordinals:
+        return header.withColumn("samples", F.array().cast("array<string>"))
+    # distinct values in the order of a seeded hash; every partition hands on a few of each column
+    values = _cells(df, ordinals).where("value is not null").distinct()
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(table), F.col("ordinal").cast("string"), "value"))
+    place = F.row_number().over(Window.partitionBy("ordinal").orderBy("drawn", "value"))
+    chosen = values.withColumn("drawn", drawn).withColumn("place", place).where(F.col("place") <= SNAPSHOT_SAMPLES)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"])
+    samples = chosen.groupBy("ordinal").agg(listed.alias("samples"))
+    none = F.array().cast("array<string>")
+    return header.join(samples, "ordinal", "left").select(
+        "table_name", "ordinal", "name", "datatype", F.coalesce("samples", none).alias("samples")
     )
 
 
@@ -74,16 +63,15 @@ def schema_snapshot(
     nodes_exclude: Iterable[str] = (),
     edges_exclude: Iterable[str] = (),
     seed: int = 0,
-    nodes_order: Iterable[str] | None = None,
-    edges_order: Iterable[str] | None = None,
 ) -> DataFrame:
     """Rows (table_name, ordinal, name, datatype, samples) for both tables.
 
-    Samples are drawn with replacement from the first ten rows, nulls aside, and
-    equal neighbours are merged. Excluded columns are named by prefix.
+    Samples are up to six different values of the whole column, the first ones by
+    a seeded hash, so that equal tables have equal snapshots. Excluded columns are
+    named by prefix.
     """
-    return _table_snapshot(nodes, "nodes", nodes_exclude, seed, nodes_order).unionAll(
-        _table_snapshot(edges, "edges", edges_exclude, seed, edges_order)
+    return _table_snapshot(nodes, "nodes", nodes_exclude, seed).unionAll(
+        _table_snapshot(edges, "edges", edges_exclude, seed)
     )
 
 
@@ -162,7 +150,7 @@ def _prefix(identifier: Column) -> Column:
 def generation_spec(
     nodes: DataFrame,
     edges: DataFrame,
-    limit: int = 20,
+    limit: int | None = None,
     rows: int = 100,
     snapshot: DataFrame | None = None,
     order_by: Iterable[str] | None = None,
@@ -170,19 +158,19 @@ def generation_spec(
 ) -> DataFrame:
     """A data-generation spec as rows, one per listed value.
 
-    It describes the first ``limit / 2`` edges and the nodes they touch; columns
-    with a leading ``_`` are left out. First means as scanned, which reads no
-    more than it needs, or under ``order_by``, which passes over all edges. With
-    ``snapshot`` only its columns are used. Columns: table_name, ordinal, name,
-    type, setting, value, number (the place of a value, or its numeric form).
+    It describes all edges and the nodes they touch; columns with a leading ``_``
+    are left out. With ``limit`` it describes the first ``limit / 2`` edges by
+    ``order_by`` (or by all their columns) and their nodes. With ``snapshot`` only
+    its columns are used. Columns: table_name, ordinal, name, type, setting, value,
+    number (the place of a value, or its numeric form).
     """
     if snapshot is not None:
         # as many rows as the two tables have columns
         wanted = snapshot.orderBy("ordinal").select("table_name", "name").collect()
         nodes = nodes.select(*[named(r.name) for r in wanted if r.table_name == "nodes"])
         edges = edges.select(*[named(r.name) for r in wanted if r.table_name == "edges"])
-    # few rows, maybe behind a pass over all edges, used for both tables
-    edges = materialized(_head(edges, round_half_up(limit / 2), order_by), "first-edges")
+    if limit is not None:
+        edges = _head(edges, round_half_up(limit / 2), order_by)
     nodes = rows_with_id(nodes, endpoint_ids(edges))
     return table_spec(nodes, "nodes", rows, vocabularies).unionAll(
         table_spec(edges, "edges", rows, vocabularies)

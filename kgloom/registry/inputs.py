@@ -44,7 +44,7 @@ UNION ALL
 SELECT 'indication', 'indication', CAST(n_nationkey AS STRING), 'drug',
   CASE WHEN n_nationkey = 7 THEN NULL ELSE 'DrugBank' END, ids, 'disease', 'MONDO_grouped'
 FROM {nation} JOIN (
-  SELECT c_nationkey, @GROUPED ids FROM {customer} WHERE c_mktsegment = 'MACHINERY' GROUP BY c_nationkey
+  SELECT c_nationkey, @GROUPED ids FROM {customer} GROUP BY c_nationkey, c_mktsegment
 ) g ON c_nationkey = n_nationkey
 """
 
@@ -78,39 +78,41 @@ UNION ALL SELECT concat('r', CAST(r_regionkey AS STRING)), concat('R-', CAST(r_r
   r_name, 'REACTOME' FROM {region}
 """
 
-# drugs of some types only, so part of the nodes have no features, and one row without a node
+# every fourth drug's features have no node, and so that drug no features
 DRUG_FEATURES = """
-SELECT concat('p', CAST(p_partkey AS STRING)) node_index, p_type description, p_brand category
-FROM {part} WHERE p_type IN ('LARGE', 'PROMO', 'SMALL')
-UNION ALL SELECT 'p-orphan', 'no node', 'none'
+SELECT concat(CASE WHEN p_partkey % 4 = 0 THEN 'q' ELSE 'p' END, CAST(p_partkey AS STRING)) node_index,
+  p_type description, p_brand category FROM {part}
 """
 
-# two rows per customer with money, none for the others
+# a row for each customer, two for every second; those of every third have no node
 DISEASE_FEATURES = """
-SELECT concat('c', CAST(c_custkey AS STRING)) node_index, CAST(c_custkey AS STRING) mondo_id
-FROM {customer} WHERE c_mktsegment = 'MACHINERY' AND c_acctbal >= 0
+SELECT concat(CASE WHEN c_custkey % 3 = 0 THEN 'd' ELSE 'c' END, CAST(c_custkey AS STRING)) node_index,
+  CAST(c_custkey AS STRING) mondo_id FROM {customer}
 UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), CAST(c_custkey + 100000 AS STRING)
-FROM {customer} WHERE c_mktsegment = 'MACHINERY' AND c_acctbal >= 0
+FROM {customer} WHERE c_custkey % 2 = 0
 """
 
-# three edge files with overlapping keys; urgent orders have no subject
+# three edge files whose keys overlap in part; urgent orders have no subject
 MERGE_ORDERS = """
-SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE concat('ORDER:', CAST(o_orderkey AS STRING)) END subject,
+SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN NULL
+    ELSE concat(CASE WHEN o_orderkey % 3 = 0 THEN 'ORDER-A:' ELSE 'ORDER:' END, CAST(o_orderkey AS STRING)) END subject,
   'biolink:related_to' predicate, concat('CUSTOMER:', CAST(o_custkey AS STRING)) object,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END source, o_totalprice weight
-FROM {orders} WHERE o_orderstatus <> 'O'
+FROM {orders}
 """
 MERGE_PRIORITIES = """
-SELECT concat('ORDER:', CAST(o_orderkey AS STRING)) subject, 'biolink:related_to' predicate,
+SELECT concat(CASE WHEN o_orderkey % 5 = 0 THEN 'ORDER-B:' ELSE 'ORDER:' END, CAST(o_orderkey AS STRING)) subject,
+  'biolink:related_to' predicate,
   concat('CUSTOMER:', CAST(o_custkey AS STRING)) object, o_orderpriority source, o_orderpriority evidence,
   o_totalprice weight
-FROM {orders} WHERE o_totalprice >= 150000
+FROM {orders}
 """
 MERGE_LINES = """
-SELECT concat('ORDER:', CAST(o_orderkey AS STRING)) subject, 'biolink:related_to' predicate,
+SELECT concat(CASE WHEN l_orderkey % 7 = 0 THEN 'ORDER-C:' ELSE 'ORDER:' END, CAST(o_orderkey AS STRING)) subject,
+  'biolink:related_to' predicate,
   concat('CUSTOMER:', CAST(o_custkey AS STRING)) object, l_linestatus source, l_returnflag evidence,
   CAST(l_linenumber AS STRING) version
-FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey WHERE l_returnflag <> 'N'
+FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey
 """
 MERGE_RETURNS = """
 SELECT subject, predicate, object, max(source) source, max(evidence) evidence, max(version) version

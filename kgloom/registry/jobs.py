@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import operators as ops
@@ -125,8 +125,9 @@ def endpoint_check_counts(spark, sf_dir):
 
 @job
 def endpoint_nodes(spark, sf_dir):
-    first = graph_edges(spark, sf_dir).orderBy(*EDGE_KEYS).limit(10)
-    return ops.rows_with_id(graph_nodes(spark, sf_dir), ops.endpoint_ids(first))
+    """Nodes at the ends of edges that say something in a qualifier."""
+    marked = graph_edges(spark, sf_dir).where("negated IS NOT NULL OR subject_aspect_qualifier IS NOT NULL")
+    return ops.rows_with_id(graph_nodes(spark, sf_dir), ops.endpoint_ids(marked))
 
 
 @job
@@ -169,9 +170,17 @@ def substring_ids(spark, sf_dir):
     return ops.ids_containing(ids, ops.endpoint_ids(graph_edges(spark, sf_dir)))
 
 
+@job
+def substring_numbers(spark, sf_dir):
+    """Node ids that contain a bare number: patterns without a common beginning."""
+    ids = graph_nodes(spark, sf_dir).select("id")
+    numbers = I.table(spark, sf_dir, "nation").select((F.col("n_nationkey") * 37 + 5).cast("string").alias("id"))
+    return ops.ids_containing(ids, numbers)
+
+
 @job
 def sample_random(spark, sf_dir):
-    """The drawn ids: random, so only counted elsewhere."""
+    """Draws with replacement, by a hash that both engines compute."""
     return plans.draw_ids(spark, ops.endpoint_ids(graph_edges(spark, sf_dir)), SAMPLE_SIZE, seed=7)
 
 
@@ -273,14 +282,13 @@ def superfluous_value_counts_wide(spark, sf_dir):
 @job
 def value_counts(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders")
-    return ops.value_counts(orders, ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    return ops.value_counts(orders, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
 
 
 @job
 def profile_parquet(spark, sf_dir):
     path = f"{sf_dir}/part.parquet"
-    counts, _, _ = plans.profile_parquet(spark, [path, path])
-    return counts.where("column_name <> 'p_retailprice'")
+    return plans.profile_parquet(spark, [path, path])[0]
 
 
 @job
@@ -321,7 +329,7 @@ def _written(spark, df, label, write=sinks.write_delimited):
 @job
 def delimited_scan(spark, sf_dir):
     path = _written(spark, I.table(spark, sf_dir, "orders"), "delimited")
-    return sources.read_delimited(spark, path).drop("o_orderdate")
+    return sources.read_delimited(spark, path)
 
 
 @job
@@ -329,13 +337,13 @@ def comma_scan(spark, sf_dir):
     documents = I.table(spark, sf_dir, "documents").withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
     documents = documents.withColumn("text", F.replace("text", F.lit("\r"), F.lit(" ")))
     path = _written(spark, documents, "comma", lambda df, p: sinks.write_delimited(df, p, sep=","))
-    return sources.read_delimited(spark, path, sep=",").select("doc_id", "text")
+    return sources.read_delimited(spark, path, sep=",")
 
 
 @job
 def multi_line_scan(spark, sf_dir):
     path = _written(spark, I.table(spark, sf_dir, "documents"), "lines")
-    return sources.read_delimited(spark, path, multi_line=True).select("doc_id", F.length("text").alias("length"))
+    return sources.read_delimited(spark, path, multi_line=True)
 
 
 @job
@@ -380,7 +388,55 @@ def many_files_scan(spark, sf_dir):
         _written(spark, I.load(spark, sf_dir, i), "many")
         for i in (I.MERGE_SUPPLIERS, I.MERGE_PARTS, I.MERGE_CUSTOMERS)
     ]
-    return sources.read_many(spark, paths, tag=None)
+    rows = sources.read_many(spark, paths)
+    # part files have random names: what is compared is that they are part files
+    return rows.withColumn("_file", F.regexp_extract("_file", "^part-", 0))
+
+
+@job
+def header_tail_scan(spark, sf_dir):
+    """Columns of a node file beyond its leading three."""
+    path = _written(spark, graph_nodes(spark, sf_dir), "tail")
+    rows = sources.read_delimited(spark, path)
+    return rows.select(*sources.header_tail(rows, 3))
+
+
+@job
+def mixed_headers_scan(spark, sf_dir):
+    """One folder whose files have their columns in other orders, read by name."""
+    path = scratch_path(spark, "mixed")
+    parts = I.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    sinks.write_delimited(parts, path)
+    suppliers = I.table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("p_name"), F.col("s_suppkey").alias("p_partkey"), F.col("s_acctbal").alias("balance")
+    )
+    sinks.write_delimited(suppliers, path, mode="append")
+    return sources.read_delimited(spark, path, headers="by_name")
+
+
+@job
+def late_misfit_scan(spark, sf_dir):
+    """Numbers but for the last lines: the column is text and no cell is lost."""
+    orders = I.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    value = F.when(F.col("o_orderkey") == last, F.lit("v2.1")).otherwise(F.col("o_custkey").cast("string"))
+    path = _written(spark, orders.select("o_orderkey", value.alias("version")).orderBy("o_orderkey"), "misfit")
+    return sources.read_delimited(spark, path, infer=True)
+
+
+@job
+def sample_names(spark, sf_dir):
+    """Output names of samples of as many sizes as there are nations."""
+    sizes = [r.n_nationkey for r in I.table(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    rows = [(n, *sinks.sample_file_names("kg.nodes.tsv", n)) for n in sizes]
+    return spark.createDataFrame(rows, "size int, nodes string, edges string")
+
+
+@job
+def sorted_nodes(spark, sf_dir):
+    """Node ids in order: each with the one before it in its category."""
+    by = Window.partitionBy("category").orderBy("id")
+    return graph_nodes(spark, sf_dir).select("category", "id", F.lag("id").over(by).alias("before"))
 
 
 @job
@@ -400,7 +456,7 @@ def category_info_scan(spark, sf_dir):
 def snapshot_scan(spark, sf_dir):
     snapshot = plans.schema_snapshot(graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir))
     path = _written(spark, plans.snapshot_document(snapshot), "snapshot", sinks.write_lines)
-    return sources.read_snapshot(spark, path).select("table_name", "ordinal", "name", "datatype")
+    return sources.read_snapshot(spark, path).withColumn("samples", text.list_text(F.col("samples")))
 
 
 @job
@@ -411,7 +467,8 @@ def json_sink(spark, sf_dir):
 
 @job
 def json_rows(spark, sf_dir):
-    return sinks.json_rows(graph_nodes(spark, sf_dir).select("id", "category", "name"))
+    nodes = graph_nodes(spark, sf_dir)
+    return sinks.json_rows(nodes.withColumn("_acctbal", F.col("_acctbal").cast("string")))
 
 
 @job
@@ -436,7 +493,14 @@ def normalization_scan(spark, sf_dir):
     lines = found.select(F.to_json(F.create_map("identifier", record), {"ignoreNullFields": "false"}).alias("value"))
     path = _written(spark, lines, "normalization", sinks.write_lines)
     read = sources.read_normalization(spark, path)
-    return read.select("identifier", "preferred_identifier", text.list_text(F.col("types")).alias("types"))
+    return read.select(
+        "identifier",
+        "preferred_identifier",
+        "label",
+        F.get("equivalent_identifiers", F.lit(0))["identifier"].alias("equivalent_identifier"),
+        text.list_text(F.col("types")).alias("types"),
+        F.col("information_content").cast("double").alias("information_content"),
+    )
 
 
 # --- merges -----------------------------------------------------------------------------------
@@ -552,39 +616,26 @@ def predicate_prefix(spark, sf_dir):
 
 @job
 def schema_snapshot(spark, sf_dir):
-    """Samples are random; names and types are compared in schema_snapshot_columns."""
-    found = plans.schema_snapshot(graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir), nodes_exclude=["_a"])
+    found = plans.schema_snapshot(graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir), nodes_exclude=["_a"], seed=3)
     return found.withColumn("samples", text.list_text(F.col("samples")))
 
 
 @job
 def schema_snapshot_columns(spark, sf_dir):
-    """With the samples' count, and whether all come from the first rows."""
-    nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
-    found = plans.schema_snapshot(nodes, edges, nodes_order=["id"], edges_order=EDGE_KEYS)
-    head = nodes.orderBy("id").limit(10).select(F.collect_list("id").alias("head")).scalar()
-    inside = F.size(F.array_except("samples", "head")) == 0
-    return found.withColumn("head", head).select(
-        "table_name",
-        "ordinal",
-        "name",
-        "datatype",
-        F.size("samples").between(0, 6).alias("at_most_six"),
-        F.when(F.col("name") == "id", inside).alias("from_head"),
-    )
+    """Header, and how many samples each column has."""
+    found = plans.schema_snapshot(graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir))
+    return found.select("table_name", "ordinal", "name", "datatype", F.size("samples").alias("n_samples"))
 
 
 def _spec(spark, sf_dir):
     nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
-    return plans.generation_spec(nodes, edges, order_by=EDGE_KEYS)
-
-
-SPEC_COLUMNS = ["table_name", "name", "type", "setting", "value"]
+    return plans.generation_spec(nodes, edges)
 
 
 @job
 def generation_spec_values(spark, sf_dir):
-    return _spec(spark, sf_dir).select(*SPEC_COLUMNS)
+    """Spec of all edges and the nodes they touch."""
+    return _spec(spark, sf_dir)
 
 
 @job
@@ -592,8 +643,7 @@ def generation_spec_snapshot(spark, sf_dir):
     nodes, edges = graph_nodes(spark, sf_dir), stored_edges(spark, sf_dir)
     left_out = ["original", "subject_a", "subject_d", "object_"]
     kept = plans.schema_snapshot(nodes, edges, nodes_exclude=["_", "name"], edges_exclude=left_out)
-    spec = plans.generation_spec(nodes, edges, snapshot=kept, order_by=EDGE_KEYS)
-    return spec.select(*SPEC_COLUMNS)
+    return plans.generation_spec(nodes, edges, snapshot=kept)
 
 
 @job
@@ -609,8 +659,7 @@ def id_prefixes(spark, sf_dir):
 @job
 def sorted_values(spark, sf_dir):
     """Sorted distinct values of every column that is not superfluous, over the whole table."""
-    edges = graph_edges(spark, sf_dir).select("predicate", "negated", "publications", "subject_aspect_qualifier")
-    return plans.table_spec(edges, "edges", rows=100).select("table_name", "name", "setting", "value")
+    return plans.table_spec(graph_edges(spark, sf_dir), "edges", rows=100, vocabularies={})
 
 
 @job

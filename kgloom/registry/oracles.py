@@ -110,15 +110,16 @@ _IDENTIFIERS = f"""(SELECT id, max(identifier) identifier FROM (
 
 RAW_NODES = I.oracle(I.RAW_NODES)
 
-FIRST_EDGES = f"(SELECT * FROM {EDGES} e ORDER BY subject, predicate, object LIMIT 10)"
-FIRST_NODES = f"""(SELECT * FROM {NODES} n WHERE id IN (SELECT subject FROM {FIRST_EDGES} f)
-  OR id IN (SELECT object FROM {FIRST_EDGES} f))"""
+MARKED_ENDS = f"""(SELECT subject id FROM {EDGES} e WHERE negated IS NOT NULL OR subject_aspect_qualifier IS NOT NULL
+  UNION SELECT object FROM {EDGES} e WHERE negated IS NOT NULL OR subject_aspect_qualifier IS NOT NULL)"""
+TOUCHED_NODES = f"(SELECT * FROM {NODES} n WHERE id IN (SELECT subject FROM {EDGES} f) OR id IN (SELECT object FROM {EDGES} f))"
 
 
-def _values(table: str, source: str, column: str, setting: str = "sample_values", value: str | None = None) -> str:
+def _values(table: str, source: str, column: str, ordinal: int, setting: str = "sample_values", value: str | None = None) -> str:
     kind = "generate_unique_id" if setting == "prefixes" else "generate_values"
     shown = value or f"CAST({column} AS VARCHAR)"
-    return f"""SELECT '{table}' table_name, '{column}' AS name, '{kind}' AS type, '{setting}' setting, value FROM (
+    return f"""SELECT '{table}' table_name, {ordinal} ordinal, '{column}' AS name, '{kind}' AS type, '{setting}' setting, value,
+  CAST(NULL AS DOUBLE) number FROM (
   SELECT DISTINCT {shown} AS value FROM {source} s WHERE {column} IS NOT NULL
   UNION ALL SELECT '' WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {column} IS NOT NULL)) v"""
 
@@ -132,27 +133,34 @@ _LEVELS = [
 ]
 
 
-def _fixed(column: str, values: list[str]) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"SELECT 'edges', '{column}', 'generate_values', 'sample_values', unnest([{listed}])"
+def _fixed(column: str, ordinal: int, values: list[str]) -> str:
+    listed = ", ".join(f"('{v}', {n}.0::DOUBLE)" for n, v in enumerate(values))
+    return f"SELECT 'edges', {ordinal}, '{column}', 'generate_values', 'sample_values', v, n FROM (VALUES {listed}) w(v, n)"
 
 
-def _spec_sql(node_columns: list[str], edge_columns: list[str]) -> str:
-    parts = [_values("nodes", FIRST_NODES, "id", "prefixes", "split_part(id, ':', 1)")]
-    parts += [_values("nodes", FIRST_NODES, c) for c in node_columns]
-    for c in edge_columns:
+def _copied(column: str, ordinal: int) -> str:
+    settings = "('source_column', 'nodes.id'), ('seed', '590590'), ('sample.num_rows', '@edges.num_rows')"
+    return f"SELECT 'edges', {ordinal}, '{column}', 'copy_column', s, v, NULL FROM (VALUES {settings}) w(s, v)"
+
+
+def _rows(table: str) -> str:
+    return f"SELECT '{table}', -1, NULL, NULL, 'num_rows', '100', NULL"
+
+
+def _spec_sql(node_columns: list[str], edge_columns: list[str], nodes: str) -> str:
+    """Spec rows; ordinals count the columns used, subject and object last."""
+    parts = [_values("nodes", nodes, "id", 0, "prefixes", "split_part(id, ':', 1)")]
+    parts += [_values("nodes", nodes, c, i + 1) for i, c in enumerate(node_columns)]
+    for i, c in enumerate([*edge_columns, "subject", "object"]):
         if c == "agent_type":
-            parts.append(_fixed(c, _AGENTS))
+            parts.append(_fixed(c, i, _AGENTS))
         elif c in ("knowledge_level", "subject_direction_qualifier", "object_direction_qualifier"):
-            parts.append(_fixed(c, _LEVELS))
+            parts.append(_fixed(c, i, _LEVELS))
+        elif c in ("subject", "object"):
+            parts.append(_copied(c, i))
         else:
-            parts.append(_values("edges", FIRST_EDGES, c))
-    for c in ("subject", "object"):
-        for setting, value in (("source_column", "nodes.id"), ("seed", "590590"), ("sample.num_rows", "@edges.num_rows")):
-            parts.append(f"SELECT 'edges', '{c}', 'copy_column', '{setting}', '{value}'")
-    for table in ("nodes", "edges"):
-        parts.append(f"SELECT '{table}', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'num_rows', '100'")
-    return " UNION ALL ".join(parts)
+            parts.append(_values("edges", EDGES, c, i))
+    return " UNION ALL ".join([*parts, _rows("nodes"), _rows("edges")])
 
 
 _ALL_EDGE_COLUMNS = [
@@ -162,13 +170,28 @@ _ALL_EDGE_COLUMNS = [
 ]
 
 
-def _headers() -> str:
-    nodes = [("id", "str"), ("category", "str"), ("name", "str"), ("_src", "str"), ("_acctbal", "f64")]
+_NODE_TYPES = [("id", "str"), ("category", "str"), ("name", "str"), ("_src", "str"), ("_acctbal", "f64")]
+
+
+def _snapshot_sql(seed: int, node_columns: list[tuple[str, str]] = _NODE_TYPES) -> str:
+    """Header rows with their samples: different values, the first six by a seeded hash."""
     edges = [(c, "str") for c in [*_ALL_EDGE_COLUMNS, "subject", "object"]]
-    rows = [("nodes", i, n, t) for i, (n, t) in enumerate(nodes)]
-    rows += [("edges", i, n, t) for i, (n, t) in enumerate(edges)]
-    listed = ", ".join(f"('{a}', {i}, '{n}', '{t}')" for a, i, n, t in rows)
-    return f"(SELECT * FROM (VALUES {listed}) h(table_name, ordinal, name, datatype))"
+    header, cells = [], []
+    for table, source, columns in (("nodes", NODES, node_columns), ("edges", EDGES, edges)):
+        for i, (n, t) in enumerate(columns):
+            header.append(f"('{table}', {i}, '{n}', '{t}')")
+            cells.append(f"SELECT DISTINCT '{table}' AS table_name, {i} AS ordinal, CAST({n} AS VARCHAR) AS value FROM {source} s WHERE {n} IS NOT NULL")
+    return f"""(SELECT h.*, coalesce(samples, []) samples FROM (VALUES {", ".join(header)}) h(table_name, ordinal, name, datatype)
+  LEFT JOIN (SELECT table_name, ordinal, list(value ORDER BY place) samples FROM (
+    SELECT *, row_number() OVER (PARTITION BY table_name, ordinal ORDER BY drawn, value) place FROM (
+      SELECT *, md5(concat_ws('|', '{seed}', table_name, CAST(ordinal AS VARCHAR), value)) drawn FROM ({" UNION ALL ".join(cells)}) c))
+    WHERE place <= 6 GROUP BY table_name, ordinal) s USING (table_name, ordinal))"""
+
+
+DRAWN = f"""(WITH ids AS (SELECT id, row_number() OVER (ORDER BY md5('7:' || id), id) - 1 AS number FROM (SELECT DISTINCT id FROM {ENDS} e)),
+  draws AS (SELECT ('0x' || substr(md5('draw:7:' || CAST(k AS VARCHAR)), 1, 12))::BIGINT % (SELECT count(*) FROM ids) AS number
+    FROM (SELECT unnest(range({FIRST_IDS})) AS k))
+  SELECT id, count(*) times FROM ids JOIN draws USING (number) GROUP BY id)"""
 
 
 ORACLES: dict[str, str] = {
@@ -206,7 +229,7 @@ ORACLES: dict[str, str] = {
   UNION ALL SELECT 'edges', id FROM (SELECT id FROM {ENDS} e EXCEPT SELECT id FROM {NODES} n) b""",
     "endpoint_check_counts": f"""SELECT 'nodes' side, count(*) n FROM (SELECT id FROM {NODES} n EXCEPT SELECT id FROM {ENDS} e) a
   UNION ALL SELECT 'edges', count(*) FROM (SELECT id FROM {ENDS} e EXCEPT SELECT id FROM {NODES} n) b""",
-    "endpoint_nodes": f"SELECT * FROM {FIRST_NODES} n",
+    "endpoint_nodes": f"SELECT * FROM {NODES} n WHERE id IN (SELECT id FROM {MARKED_ENDS} e)",
     "connected_nodes": f"SELECT * FROM {NODES} n WHERE id IN (SELECT id FROM {ENDS} e)",
     # samples
     "sample_edges_substring": f"{_WITH_CHOSEN} SELECT * FROM {SAMPLED_SUBSTRING} s",
@@ -218,7 +241,11 @@ ORACLES: dict[str, str] = {
   SELECT * FROM {NODES} n WHERE id IN (SELECT subject FROM sampled) OR id IN (SELECT object FROM sampled)""",
     "substring_ids": f"""WITH ends AS MATERIALIZED (SELECT DISTINCT id FROM {ENDS} e)
   SELECT DISTINCT id FROM {NODES} n WHERE EXISTS (SELECT 1 FROM ends WHERE contains(n.id, ends.id))""",
-    "sample_random_check": f"SELECT CAST({FIRST_IDS} AS BIGINT) draws, CAST(0 AS BIGINT) AS unknown",
+    "substring_numbers": f"""SELECT DISTINCT id FROM {NODES} n
+  WHERE EXISTS (SELECT 1 FROM nation WHERE contains(n.id, CAST(n_nationkey * 37 + 5 AS VARCHAR)))""",
+    "sample_random": f"SELECT * FROM {DRAWN} d",
+    "sample_random_check": f"""SELECT CAST(sum(times) AS BIGINT) draws,
+  count(*) FILTER (id NOT IN (SELECT id FROM {ENDS} e)) AS unknown FROM {DRAWN} d""",
     # columns
     "clean_nodes_header": f"""SELECT id, category AS "__label", name, _src AS "_src", _acctbal AS "_acctbal" FROM {NODES} n""",
     "clean_edges_header": f"""SELECT subject, predicate, object, publications, {_NONE} AS "_upstream" FROM {EDGES} e""",
@@ -242,21 +269,30 @@ ORACLES: dict[str, str] = {
   max(CASE WHEN column_name = '_acctbal' THEN value END) _acctbal,
   max(CASE WHEN column_name = '_acctbal' THEN counts END) _acctbal_counts FROM {HEAD_TAIL} h GROUP BY position""",
     "value_counts": f"""SELECT column_name, value, count(*) counts
-  FROM {_long('orders', ['o_custkey', 'o_orderstatus', 'o_orderpriority'])} l GROUP BY column_name, value""",
+  FROM {_long('orders', ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderpriority'])} l GROUP BY column_name, value""",
     "profile_parquet": f"""SELECT column_name, value, counts, CAST(place AS INT) AS rank FROM (SELECT *,
   row_number() OVER (PARTITION BY column_name ORDER BY counts DESC, value ASC NULLS LAST) place FROM (
   SELECT column_name, value, count(*) counts
-  FROM {_long('part', ['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size'])} l GROUP BY column_name, value) c) p
+  FROM {_long('part', ['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice'])} l GROUP BY column_name, value) c) p
   WHERE place <= 10""",
     "parquet_shape": "SELECT 2 * count(*) num_rows, 11 num_columns FROM lineitem",
     "parquet_append": "SELECT o_orderstatus, 2 * count(*) n FROM orders GROUP BY o_orderstatus",
     "file_shapes": f"SELECT count(*) data_lines, 5 min_columns, 5 max_columns FROM {NODES} n",
     # text and JSON files
     "delimited_scan": """SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, CAST(o_custkey AS VARCHAR) o_custkey, o_orderstatus,
-  CAST(o_totalprice AS VARCHAR) o_totalprice, o_orderpriority FROM orders""",
-    "comma_scan": """SELECT CAST(doc_id AS VARCHAR) doc_id, nullif(replace(replace(text, chr(10), ' '), chr(13), ' '), '') AS text
-  FROM documents""",
-    "multi_line_scan": "SELECT CAST(doc_id AS VARCHAR) doc_id, CAST(length(text) AS INT) AS length FROM documents",
+  CAST(o_totalprice AS VARCHAR) o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') o_orderdate, o_orderpriority FROM orders""",
+    "comma_scan": """SELECT CAST(doc_id AS VARCHAR) doc_id, nullif(replace(replace(text, chr(10), ' '), chr(13), ' '), '') AS text,
+  lang, source, CAST(n_chars AS VARCHAR) n_chars FROM documents""",
+    "multi_line_scan": """SELECT CAST(doc_id AS VARCHAR) doc_id, nullif(text, '') AS text, lang, source,
+  CAST(n_chars AS VARCHAR) n_chars FROM documents""",
+    "header_tail_scan": f"SELECT _src, CAST(_acctbal AS VARCHAR) _acctbal FROM {NODES} n",
+    "mixed_headers_scan": """SELECT CAST(p_partkey AS VARCHAR) p_partkey, p_name, p_brand, NULL AS balance FROM part
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, CAST(s_acctbal AS VARCHAR) FROM supplier""",
+    "late_misfit_scan": """SELECT o_orderkey, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'v2.1'
+  ELSE CAST(o_custkey AS VARCHAR) END version FROM orders""",
+    "sample_names": """SELECT CAST(n_nationkey AS INT) AS size, concat('kg.nodes_', n_nationkey, '.tsv') nodes,
+  concat('kg.edges_', n_nationkey, '.tsv') edges FROM nation""",
+    "sorted_nodes": f"SELECT category, id, lag(id) OVER (PARTITION BY category ORDER BY id) AS before FROM {NODES} n",
     "inferred_scan": "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) p_size, p_retailprice FROM part",
     "strict_scan": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "raw_node_scan": f"SELECT id, category, identifier, name FROM {RAW_NODES} n",
@@ -265,19 +301,22 @@ ORACLES: dict[str, str] = {
     "kgx_node_scan": f"SELECT id, category FROM {NODES} n",
     "kgx_edge_scan": f"""SELECT subject, predicate, object, primary_knowledge_source, aggregator_knowledge_source,
   knowledge_level, agent_type FROM {EDGES} e""",
-    "many_files_scan": f"""SELECT id, category, name, source, NULL AS "EC", NULL description FROM {I.oracle(I.MERGE_SUPPLIERS)} s
+    "many_files_scan": f"""SELECT *, 'part-' AS _file FROM (
+  SELECT id, category, name, source, NULL AS "EC", NULL description FROM {I.oracle(I.MERGE_SUPPLIERS)} s
   UNION ALL SELECT id, category, name, NULL, "EC", description FROM {I.oracle(I.MERGE_PARTS)} p
-  UNION ALL SELECT id, category, NULL, source, NULL, description FROM {I.oracle(I.MERGE_CUSTOMERS)} c""",
+  UNION ALL SELECT id, category, NULL, source, NULL, description FROM {I.oracle(I.MERGE_CUSTOMERS)} c) m""",
     "predicate_info_scan": f"SELECT subject, predicate, object, file FROM {I.oracle(I.PATTERNS)} p",
     "category_info_scan": f"""SELECT category, concat('node_', min(_src)) file FROM {NODES} n
   WHERE category = 'biolink:Disease' OR _src = 'part' GROUP BY category""",
-    "snapshot_scan": f"SELECT table_name, ordinal, name, datatype FROM {_headers()} h",
+    "snapshot_scan": f"SELECT * REPLACE (array_to_string(samples, '|') AS samples) FROM {_snapshot_sql(0)} s",
     "json_sink": f"""SELECT DISTINCT relation, display_relation, {_MAPPED.replace('@ELSE', 'NULL')} predicate FROM {KG} kg""",
-    "json_rows": f"""SELECT concat('{{"id":"', id, '","category":"', category, '","name":',
-  CASE WHEN name IS NULL THEN 'null' ELSE concat('"', name, '"') END, '}}') AS json FROM {NODES} n""",
+    "json_rows": f"""SELECT CAST(to_json(struct_pack(id, category, name, _src, _acctbal := CAST(_acctbal AS VARCHAR))) AS VARCHAR) AS json
+  FROM {NODES} n""",
     "json_lookup": "SELECT event_id, 'k' AS name, CAST(json_extract_string(props, '$.k') AS BIGINT) k FROM events",
     "normalization_scan": f"""SELECT identifier, CASE WHEN types IS NOT NULL THEN identifier END preferred_identifier,
-  replace(types, chr(31), '|') types FROM {I.oracle(I.NORMALIZATION)} n""",
+  CASE WHEN types IS NOT NULL THEN 'size' END AS label, CASE WHEN types IS NOT NULL THEN identifier END equivalent_identifier,
+  replace(types, chr(31), '|') types, CASE WHEN types IS NOT NULL THEN 0.5::DOUBLE END information_content
+  FROM {I.oracle(I.NORMALIZATION)} n""",
     # merges
     "merge_edges_fold": _merge_sql(I.MERGE_LINES),
     "merge_edges_split": _merge_sql(I.MERGE_LINES),
@@ -310,19 +349,20 @@ ORACLES: dict[str, str] = {
     "empty_identifiers": f"SELECT category, bool_and(length(identifier) > 0) complete FROM {RAW_NODES} n GROUP BY category",
     "predicate_prefix": f"SELECT concat('biolink:', relation) predicate FROM {KG} kg",
     # snapshots and specs
-    "schema_snapshot_columns": f"""SELECT *, true at_most_six, CASE WHEN name = 'id' THEN true END from_head
-  FROM {_headers()} h""",
-    "generation_spec_values": _spec_sql(["category", "name"], _ALL_EDGE_COLUMNS),
+    "schema_snapshot": f"SELECT * REPLACE (array_to_string(samples, '|') AS samples) FROM {_snapshot_sql(3, _NODE_TYPES[:4])} s",
+    "schema_snapshot_columns": f"""SELECT table_name, ordinal, name, datatype, CAST(len(samples) AS INT) n_samples
+  FROM {_snapshot_sql(0)} s""",
+    "generation_spec_values": _spec_sql(["category", "name"], _ALL_EDGE_COLUMNS, TOUCHED_NODES),
     "generation_spec_snapshot": _spec_sql(
         ["category"],
         [c for c in _ALL_EDGE_COLUMNS if not c.startswith(("original", "subject_a", "subject_d", "object_"))],
+        TOUCHED_NODES,
     ),
     "id_prefixes": f"SELECT DISTINCT split_part(id, ':', 1) prefix FROM {NODES} n",
-    "sorted_values": "SELECT table_name, name, setting, value FROM ("
-    + " UNION ALL ".join(
-        _values("edges", EDGES, c) for c in ("predicate", "negated", "publications", "subject_aspect_qualifier")
-    )
-    + ") v UNION ALL SELECT 'edges', NULL, 'num_rows', '100'",
+    "sorted_values": " UNION ALL ".join(
+        [_values("edges", EDGES, c, i) for i, c in enumerate(_ALL_EDGE_COLUMNS)]
+        + [_copied("subject", len(_ALL_EDGE_COLUMNS)), _copied("object", len(_ALL_EDGE_COLUMNS) + 1), _rows("edges")]
+    ),
     "list_repeats": """SELECT doc_id, array_to_string(list_filter(string_split(text, ' '),
   lambda x, i: i = 1 OR x <> string_split(text, ' ')[i - 1]), '|') words FROM documents""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from functools import lru_cache
@@ -32,16 +33,23 @@ def build_session(app_name: str = "kgloom", master: str | None = None, **extra:
 
 @lru_cache(maxsize=1)
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="kgloom-")
+    """A folder of this process, gone when it ends."""
+    folder = tempfile.TemporaryDirectory(prefix="kgloom-")
+    atexit.register(folder.cleanup)
+    return folder.name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder the cluster names for checkpoints.
 
-    Only a session that names none (a local test) falls back to a folder of
-    this machine.
+    Only a local session, whose executors are this machine, may do without: it
+    gets a temporary folder. A cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

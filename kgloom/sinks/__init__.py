@@ -1,5 +1,4 @@
 from .writers import (
-    json_array,
     json_rows,
     sample_file_names,
     write_delimited,
@@ -9,7 +8,6 @@ from .writers import (
 )
 
 __all__ = [
-    "json_array",
     "json_rows",
     "sample_file_names",
     "write_delimited",

@@ -15,10 +15,14 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "erro
     df.write.mode(mode).options(sep=sep, header=True, quote='"', escape='"', **_KEEP_BLANKS).csv(path)
 
 
-def write_unquoted(df: DataFrame, path: str, sep: str = "\t", mode: str = "errorifexists") -> None:
-    """Plain text with a header: quotes are data, null and empty look the same."""
+def write_unquoted(
+    df: DataFrame, path: str, sep: str = "\t", mode: str = "errorifexists", by: str | None = None
+) -> None:
+    """Plain text with a header: quotes are data, null and empty look the same. ``by`` names a column whose values
+    get a folder each; it is not written into the files."""
     options = {"sep": sep, "header": True, "quote": "", "escapeQuotes": False, "emptyValue": ""}
-    df.write.mode(mode).options(**options, **_KEEP_BLANKS).csv(path)
+    writer = df.write.mode(mode).options(**options, **_KEEP_BLANKS)
+    (writer.partitionBy(by) if by else writer).csv(path)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -37,14 +41,6 @@ def json_rows(df: DataFrame, name: str = "json") -> DataFrame:
     return df.select(F.to_json(row, {"ignoreNullFields": "false"}).alias(name))
 
 
-def json_array(df: DataFrame, order_by: list[str], max_rows: int = 10_000) -> str:
-    """A small report as one JSON array. Larger results belong in ``write_json``."""
-    rows = json_rows(df.orderBy(*[named(c) for c in order_by])).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_json")
-    return "[" + ",".join(r[0] for r in rows) + "]"
-
-
 def sample_file_names(nodes_file_name: str, size: int) -> tuple[str, str]:
     """Names of the sampled node and edge files, both made from the node file's."""
     if "nodes." not in nodes_file_name:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,8 @@ def _reader(spark: SparkSession, sep: str, **options):
         "mode": "PERMISSIVE",
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
+        # every file's header is held against the first one's: columns are never swapped
+        "enforceSchema": False,
         **options,
     }
     return spark.read.options(**settings)
@@ -48,24 +52,35 @@ def read_delimited(
     path: str | list[str],
     sep: str = "\t",
     infer: bool = False,
-    sample_rows: int = 100,
     ragged: str = "truncate",
     multi_line: bool = False,
+    headers: str = "equal",
 ) -> DataFrame:
     """Scan delimited files with a header; every column a string unless ``infer``.
 
-    ``infer`` takes types from the leading ``sample_rows`` lines only; a later
-    cell that does not fit becomes null. ``ragged="truncate"`` cuts extra fields
-    and pads short rows with nulls; ``ragged="error"`` fails on extra fields.
-    Empty cells, quoted or not, are null. Line breaks inside quotes need
-    ``multi_line``, which makes a file unsplittable.
+    ``infer`` takes types from all rows of all files, one pass before the scan:
+    whole numbers, numbers, booleans, or else text, so that no cell is lost.
+    ``ragged="truncate"`` cuts extra fields and pads short rows with nulls;
+    ``ragged="error"`` fails on extra fields. Empty cells, quoted or not, are
+    null. Line breaks inside quotes need ``multi_line``, which makes a file
+    unsplittable.
+
+    Files must share one header, or the scan fails; with ``headers="by_name"``
+    they are grouped by their own headers and their columns matched by name.
     """
     if ragged not in ("truncate", "error"):
         raise ValueError(f"ragged must be 'truncate' or 'error', not {ragged!r}")
+    if headers not in ("equal", "by_name"):
+        raise ValueError(f"headers must be 'equal' or 'by_name', not {headers!r}")
+    if headers == "by_name":
+        parts = [
+            read_delimited(spark, files, sep, False, ragged, multi_line)
+            for files in files_by_header(spark, path).values()
+        ]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return _typed(rows) if infer else rows
     paths = _paths(path)
-    schema = None
-    if infer:
-        schema = _inferred_schema(spark, paths[0], sep, sample_rows)
+    schema = _inferred_schema(spark, paths, sep, multi_line) if infer else None
     if ragged == "error":
         return _scan_strict_width(spark, paths, sep, schema, multi_line)
     reader = _reader(spark, sep, multiLine=multi_line, **_QUOTED)
@@ -74,19 +89,52 @@ def read_delimited(
     return reader.csv(paths)
 
 
-def _inferred_schema(spark: SparkSession, path: str, sep: str, sample_rows: int) -> T.StructType:
-    head = [r.value for r in spark.read.text(path).limit(sample_rows + 1).collect()]
-    sample = spark.sparkContext.parallelize(head, 1)
-    inferred = _reader(spark, sep, inferSchema=True, **_QUOTED).csv(sample).schema
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files by their first line, in the order of their names: one distributed scan, one row a file for the driver."""
+    lines = spark.read.text(_paths(path)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        found.setdefault(r.header, []).append(r.file)
+    if not found:
+        raise ValueError(f"no header in {path}")
+    return found
+
+
+def _plain(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.LongType()
+    if isinstance(kind, (T.DoubleType, T.BooleanType)):
+        return kind
+    return T.StringType()
+
 
-    def plain(kind: T.DataType) -> T.DataType:
-        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            return T.LongType()
-        if isinstance(kind, (T.DoubleType, T.BooleanType)):
-            return kind
-        return T.StringType()
+def _inferred_schema(spark: SparkSession, paths: list[str], sep: str, multi_line: bool) -> T.StructType:
+    """Types that every row of every file fits."""
+    inferred = _reader(spark, sep, inferSchema=True, multiLine=multi_line, **_QUOTED).csv(paths).schema
+    return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in inferred])
 
-    return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in inferred])
+
+def _typed(rows: DataFrame) -> DataFrame:
+    """Text columns as the narrowest type that all their cells fit."""
+
+    def fits(name: str, kind: str) -> Column:
+        return F.coalesce(F.bool_and(named(name).isNull() | named(name).try_cast(kind).isNotNull()), F.lit(True))
+
+    kinds = ("long", "double", "boolean")
+    checks = [fits(c, k).alias(f"{i}.{k}") for i, c in enumerate(rows.columns) for k in kinds]
+    filled = [F.count(named(c)).alias(f"{i}.n") for i, c in enumerate(rows.columns)]
+    found = rows.agg(*checks, *filled).first()
+    cells = []
+    for i, c in enumerate(rows.columns):
+        kind = next((k for k in kinds if found[f"{i}.{k}"] and found[f"{i}.n"]), "string")
+        cells.append(named(c).cast(kind).alias(c))
+    return rows.select(*cells)
 
 
 def _scan_strict_width(
@@ -108,13 +156,17 @@ def _scan_strict_width(
     for i, name in enumerate(names):
         cell = named(name)
         if schema is not None and not isinstance(schema[i].dataType, T.StringType):
-            cell = cell.try_cast(schema[i].dataType)
+            misfit = F.raise_error(F.concat(F.lit(f"a cell of {name} does not fit its type: "), cell))
+            value = cell.try_cast(schema[i].dataType)
+            cell = F.when(value.isNotNull() | cell.isNull(), value).otherwise(misfit.cast(schema[i].dataType))
         cells.append(cell.alias(name))
     return rows.select(*cells)
 
 
-def read_line_fields(spark: SparkSession, path: str | list[str], sep: str = "\t") -> tuple[list[str], DataFrame]:
-    """(names of the first file's header, lines split into one ``fields`` array).
+def read_line_fields(
+    spark: SparkSession, path: str | list[str], sep: str = "\t", extra: dict[str, Column] | None = None
+) -> tuple[list[str], DataFrame]:
+    """(names of the header that all files share, lines split into one ``fields`` array).
 
     Quotes are data. Lines holding nothing but blanks are skipped. One array
     instead of columns keeps plans small for headers of thousands of names.
@@ -122,8 +174,9 @@ def read_line_fields(spark: SparkSession, path: str | list[str], sep: str = "\t"
     lines = _reader(spark, _WHOLE_LINE, quote="").csv(_paths(path))
     if not lines.columns:
         raise ValueError(f"no header in {path}")
-    fields = F.split("line", "\\Q" + sep + "\\E", -1)
-    return lines.columns[0].split(sep), lines.toDF("line").select(fields.alias("fields"))
+    line = named(lines.columns[0])
+    more = [c.alias(n) for n, c in (extra or {}).items()]
+    return lines.columns[0].split(sep), lines.select(F.split(line, "\\Q" + sep + "\\E", -1).alias("fields"), *more)
 
 
 def read_lines_tsv(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
@@ -140,14 +193,28 @@ def _leading(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*names, *rest).where(named(names[-1]).isNotNull())
 
 
-def read_raw_nodes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw nodes: id, category, identifier, then any; shorter rows are dropped."""
-    return _leading(read_lines_tsv(spark, path), ["id", "category", "identifier"])
+def _read_raw(spark: SparkSession, path: str | list[str], leading: list[str], file: str | None) -> DataFrame:
+    """Unquoted files, each with its own header: the leading columns by place, the others by name."""
+    parts = []
+    for files in files_by_header(spark, path).values():
+        rows = read_lines_tsv(spark, files)
+        if file:
+            name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+            names, lines = read_line_fields(spark, files, extra={file: name})
+            rows = lines.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)], file)
+        parts.append(_leading(rows, leading))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_raw_edges(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw edges, whose files hold subject, object, predicate in that order."""
-    return _leading(read_lines_tsv(spark, path), ["subject", "object", "predicate"])
+def read_raw_nodes(spark: SparkSession, path: str | list[str], file: str | None = None) -> DataFrame:
+    """Raw nodes: id, category, identifier, then any; shorter rows are dropped. ``file`` names a column for the
+    name of each row's file, without its ending."""
+    return _read_raw(spark, path, ["id", "category", "identifier"], file)
+
+
+def read_raw_edges(spark: SparkSession, path: str | list[str], file: str | None = None) -> DataFrame:
+    """Raw edges, whose files hold subject, object, predicate in that order; ``file`` as for nodes."""
+    return _read_raw(spark, path, ["subject", "object", "predicate"], file)
 
 
 def header_tail(df: DataFrame, n: int) -> list[str]:
@@ -188,29 +255,36 @@ def read_many(
 ) -> DataFrame:
     """Append files whose headers may differ; ``tag`` names the file of each row.
 
-    Files with equal headers are read by one scan.
+    One scan finds all headers; files with equal headers are read by one scan.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        by_header.setdefault(tuple(read_delimited(spark, path, sep).columns), []).append(path)
+    if not paths:
+        raise ValueError("no input files")
     result = None
-    for alike in by_header.values():
+    for alike in files_by_header(spark, paths).values():
         rows = read_delimited(spark, alike, sep)
         if tag:
             rows = rows.withColumn(tag, F.col("_metadata.file_name"))
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
-    if result is None:
-        raise ValueError("no input files")
     return result
 
 
-def with_ordinal(df: DataFrame, name: str = "_ordinal") -> DataFrame:
+def with_ordinal(df: DataFrame, name: str = "_ordinal", files: list[str] | None = None) -> DataFrame:
     """Source order of a file scan as one comparable column.
 
     Take it directly on the scan: the row counter grows along a file's blocks.
+    Files come in the order of ``files`` (names as given to the scan), or else
+    by path.
     """
+    path = F.col("_metadata.file_path")
+    place = F.lit(0)
+    if files:
+        # a file belongs to the longest of the given paths that leads to it
+        known = sorted(enumerate(files), key=lambda x: -len(x[1]))
+        for i, given in known[::-1]:
+            place = F.when(F.contains(path, F.lit(given.split("://")[-1].split(":", 1)[-1].rstrip("/"))), i).otherwise(place)
     order = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        place.alias("place"),
+        path.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

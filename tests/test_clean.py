@@ -96,3 +96,21 @@ def test_no_empty(spark):
     df = spark.createDataFrame([("a",), ("",)], "identifier string")
     assert df.agg(plans.no_empty(F.col("identifier"))).first()[0] is False
     assert df.where("identifier <> ''").agg(plans.no_empty(F.col("identifier"))).first()[0] is True
+
+
+def test_nodes_without_identifier_stay(spark):
+    nodes = spark.createDataFrame(
+        [("1", "Gene", None), ("2", "Gene", None), ("3", "Gene", ""), ("4", "Gene", "X:1"), ("5", "Gene", "X:1")],
+        "id string, category string, identifier string",
+    )
+    found = spark.createDataFrame([], "identifier string, types array<string>")
+    terms = spark.createDataFrame([], "term string, ancestors array<string>")
+    assert sorted((r.id is None, r.id or "") for r in plans.normalize_nodes(nodes, found, terms).collect()) == [
+        (False, ""), (False, "X:1"), (True, ""), (True, ""),
+    ]
+
+
+def test_numeric_endpoints(spark):
+    edges = spark.createDataFrame([(1, "p", 2)], "subject long, predicate string, object long")
+    mapping = spark.createDataFrame([(1, "I:1")], "id long, identifier string")
+    assert tuple(ops.rewrite_endpoints(edges, mapping, ("subject", "object")).first()) == ("I:1", "p", "2")

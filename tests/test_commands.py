@@ -47,8 +47,9 @@ def test_build_edges(spark, put, out):
     ]
 
 
-def test_predicate_mappings(spark, put):
-    report = json.loads(commands.predicate_mappings(spark, put("kg.csv", *RELATIONS)))
+def test_predicate_mappings(spark, put, out):
+    commands.predicate_mappings(spark, put("kg.csv", *RELATIONS), out("report"))
+    report = [json.loads(r.value) for r in spark.read.text(out("report")).collect()]
     assert [r["predicate"] for r in report] == [
         "biolink:has_phenotype", "biolink:has_phenotype", "biolink:treats", "biolink:interacts_with",
     ]
@@ -147,3 +148,14 @@ def test_parquet_profile(spark, tmp_path, out):
     counts, shape = commands.profile_parquet(spark, [path, path], out("rows"))
     assert tuple(shape.first()) == (2, 2) and counts.count() == 2
     assert [r.value for r in spark.read.text(out("rows")).collect()] == ['{"a":"x","b":null}'] * 2
+
+
+def test_late_cells_survive_text_to_text_jobs(spark, put, out):
+    head = "subject\tpredicate\tobject\tversion"
+    lines = [f"a{i}\tp\tb\t{i:03d}" for i in range(150)] + ["z\tp\tb\tv2.1"]
+    edges = put("e1.tsv", head, *lines)
+    commands.add_edge_columns(spark, edges, out("added"), "infores:x")
+    commands.merge_edges(spark, [edges, put("e2.tsv", head, "y\tp\tb\t9007199254740993")], out("merged"))
+    want = {*(x.split("\t")[3] for x in lines)}
+    assert {r.version for r in spark.read.csv(out("added"), sep="\t", header=True).collect()} == want
+    assert {r.version for r in spark.read.csv(out("merged"), sep="\t", header=True).collect()} == want | {"9007199254740993"}

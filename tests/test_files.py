@@ -29,11 +29,55 @@ def test_headers_differing_by_case(spark, tmp_path):
     assert sources.read_delimited(spark, write(tmp_path, "Start\tstart\n1\t2\n")).columns == ["Start", "start"]
 
 
-def test_inferred_types_come_from_the_leading_lines(spark, tmp_path):
-    lines = ["i\tf\tb\ts\td\tbig"] + ["1\t1.5\ttrue\tx\t2020-01-01\t3000000000"] * 100 + ["late\tlate\tlate\ty\tz\t1"]
+def test_inferred_types_fit_every_row(spark, tmp_path):
+    lines = ["i\tf\tb\ts\td\tbig\tn"] + ["1\t1.5\ttrue\tx\t2020-01-01\t3000000000\t7"] * 150 + ["v2.1\tlate\tlate\ty\tz\t1\t8"]
     df = sources.read_delimited(spark, write(tmp_path, "\n".join(lines)), infer=True)
-    assert dict(df.dtypes) == {"i": "bigint", "f": "double", "b": "boolean", "s": "string", "d": "string", "big": "bigint"}
-    assert tuple(df.collect()[-1]) == (None, None, None, "y", "z", 1)
+    assert dict(df.dtypes) == {**dict.fromkeys("ifbsd", "string"), "big": "bigint", "n": "bigint"}
+    assert tuple(df.collect()[-1]) == ("v2.1", "late", "late", "y", "z", 1, 8)
+    # whatever the file that holds it
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder, "a\tb\n1\t2.5\n", "1.tsv")
+    write(folder, "a\tb\nx\t3\n", "2.tsv")
+    both = sources.read_delimited(spark, str(folder), infer=True)
+    assert sorted(tuple(r) for r in both.collect()) == [("1", 2.5), ("x", 3.0)]
+
+
+def test_folders_of_unlike_headers(spark, tmp_path):
+    write(tmp_path, "id\tcategory\nG:1\tGene\n", "1.tsv")
+    write(tmp_path, "category\tid\textra\nDisease\tD:1\te\n", "2.tsv")
+    with pytest.raises(Exception, match="[Hh]eader"):
+        sources.read_delimited(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="[Hh]eader"):
+        sources.read_lines_tsv(spark, str(tmp_path)).collect()
+    found = sources.read_delimited(spark, str(tmp_path), headers="by_name").select("id", "category", "extra")
+    assert sorted(tuple(r) for r in found.collect()) == [("D:1", "Disease", "e"), ("G:1", "Gene", None)]
+    with pytest.raises(ValueError):
+        sources.read_delimited(spark, str(tmp_path), headers="guess")
+
+
+def test_typed_by_name(spark, tmp_path):
+    write(tmp_path, "a\tb\tc\n1\ttrue\tx\n", "1.tsv")
+    write(tmp_path, "b\ta\n\t2.5\n", "2.tsv")
+    found = sources.read_delimited(spark, str(tmp_path), infer=True, headers="by_name")
+    assert dict(found.dtypes) == {"a": "double", "b": "boolean", "c": "string"}
+
+
+def test_raw_files_have_their_own_headers(spark, tmp_path):
+    write(tmp_path, "id\tcat\tident\tname\n1\tA\tX:1\tn\n", "one.tsv")
+    write(tmp_path, "i\tc\tx\tweight\tname\n2\tB\tY:1\t5\tm\n", "two.tsv")
+    found = sources.read_raw_nodes(spark, str(tmp_path), file="file").orderBy("id")
+    assert [r.asDict() for r in found.collect()] == [
+        {"id": "1", "category": "A", "identifier": "X:1", "name": "n", "weight": None, "file": "one"},
+        {"id": "2", "category": "B", "identifier": "Y:1", "name": "m", "weight": "5", "file": "two"},
+    ]
+
+
+def test_files_in_a_given_order(spark, tmp_path):
+    paths = [write(tmp_path, f"a\n{x}1\n{x}2\n", f"{x}.tsv") for x in "abc"]
+    given = [paths[2], paths[0], paths[1]]
+    rows = sources.with_ordinal(sources.read_delimited(spark, given), files=given)
+    assert [r.a for r in rows.orderBy("_ordinal").collect()] == ["c1", "c2", "a1", "a2", "b1", "b2"]
 
 
 def test_strict_width(spark, tmp_path):
@@ -141,9 +185,6 @@ def test_unquoted_round_trip(spark, tmp_path, rows):
 
 def test_json_sinks(spark, tmp_path):
     df = spark.createDataFrame([("b", None), ("a", 1)], "k string, v int")
-    assert json.loads(sinks.json_array(df, ["k"])) == [{"k": "a", "v": 1}, {"k": "b", "v": None}]
-    with pytest.raises(ValueError):
-        sinks.json_array(df, ["k"], max_rows=1)
     sinks.write_json(df, str(tmp_path / "j"))
     lines = sorted(r.value for r in spark.read.text(str(tmp_path / "j")).collect())
     assert [json.loads(line) for line in lines] == [{"k": "a", "v": 1}, {"k": "b", "v": None}]

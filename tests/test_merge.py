@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kgloom import plans
-from kgloom.operators.merge import merge_tables, merged_layout
+from kgloom.operators.merge import hot_keys, merge_tables, merged_layout
 
 
 def folded(tables, keys):
@@ -123,7 +123,28 @@ def test_mixed_types(spark, rows):
     a = spark.createDataFrame([(1, 5, 1)], "k int, v int, w int")
     b = spark.createDataFrame([(2, 1.5, "t")], "k int, v double, w string")
     for unique in (False, True):
-        assert rows(merge_tables([a, b], ["k"], ["v", "w"], unique_keys=unique)) == [(1, 5.0, "1"), (2, 1.5, "t")]
+        assert rows(merge_tables([a, b], ["k"], ["v", "w"], unique_keys=unique)) == [(1, "5", "1"), (2, "1.5", "t")]
+    whole = spark.createDataFrame([(3, 9007199254740993)], "k int, v long")
+    assert rows(merge_tables([a.select("k", "v"), whole], ["k"], ["v"])) == [(1, 5), (3, 9007199254740993)]
+
+
+def test_hot_keys_are_bounded_by_shares(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    a = spark.range(1000).selectExpr("CASE WHEN id < 700 THEN 1 ELSE id END k", "id v")
+    b = spark.range(100).selectExpr("id k", "id w")
+    found = {r.k: (r["__parts"], r["__divided"]) for r in hot_keys([a, b], ["k"]).collect()}
+    assert found == {1: (-(-700 // -(-1000 // partitions)), 0)}
+    assert {r.k for r in hot_keys([a, b], ["k"], split_rows=100).collect()} == {1}
+
+
+def test_many_tables_plan_quickly(spark):
+    import time
+
+    tables = [spark.range(3).selectExpr("id k", f"id c{i}") for i in range(26)]
+    hot = spark.createDataFrame([], "k long, __parts int, __divided int")
+    began = time.time()
+    merge_tables(tables, ["k"], hot=hot)._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - began < 30
 
 
 @pytest.mark.parametrize("unique", [False, True])

@@ -4,7 +4,6 @@ import pytest
 
 from kgloom import operators as ops
 from kgloom import plans, sinks
-from kgloom.plans import sample as sample_plan
 
 
 def some_graph(spark, seed=0):
@@ -31,27 +30,20 @@ def brute(nodes, edges, size, match):
 
 
 @pytest.mark.parametrize("match", ["substring", "exact"])
-@pytest.mark.parametrize("few", [0, 1000])
-def test_sample_equals_brute_force(spark, rows, monkeypatch, match, few):
-    monkeypatch.setattr(sample_plan, "FEW_PATTERNS", few)
+@pytest.mark.parametrize("materialize", [False, True])
+def test_sample_equals_brute_force(spark, rows, match, materialize):
     nodes, edges = some_graph(spark)
     want_nodes, want_edges = brute(nodes, edges, 7, match)
-    got_nodes, got_edges = plans.sample_subgraph(*frames(spark, nodes, edges), size=7, match=match)
+    got_nodes, got_edges = plans.sample_subgraph(*frames(spark, nodes, edges), size=7, match=match, materialize=materialize)
     assert rows(got_edges) == sorted(want_edges)
     assert rows(got_nodes) == sorted(want_nodes)
 
 
-def test_without_materializing(spark, rows):
-    nodes, edges = some_graph(spark)
-    want_nodes, want_edges = brute(nodes, edges, 3, "exact")
-    found = plans.sample_subgraph(*frames(spark, nodes, edges), size=3, match="exact", materialize=False)
-    assert (rows(found[0]), rows(found[1])) == (sorted(want_nodes), sorted(want_edges))
-
-
 def test_substring_selects_longer_ids(spark, rows):
     edges = spark.createDataFrame([("NCBIGene:1", "p", "B:1"), ("NCBIGene:12", "p", "C:1")], "subject string, predicate string, object string")
     ids = spark.createDataFrame([("NCBIGene:1",)], "id string")
-    assert ops.rows_containing(edges, ("subject", "object"), ids).count() == 2
+    longer = ops.ids_containing(ops.endpoint_ids(edges), ids)
+    assert ops.rows_with_either_id(edges, longer).count() == 2
     assert ops.rows_with_either_id(edges, ids).count() == 1
 
 
@@ -66,6 +58,15 @@ def test_ids_containing_edge_cases(spark, rows):
     assert found("ü") == [("é:ü1",)]
     assert found("") == [("",), ("ab",), ("abc",), ("xabcx",), ("é:ü1",)]
     assert found() == []
+    assert found("bcx", "xabcx", "zz") == [("xabcx",)]
+
+
+def test_bare_numbers_as_patterns(spark, rows):
+    rng = random.Random(2)
+    ids = [f"P{rng.randrange(10**9)}:{rng.randrange(10**6)}" for _ in range(200)]
+    patterns = [str(rng.randrange(10 ** rng.randint(1, 6))) for _ in range(60)]
+    got = ops.ids_containing(*(spark.createDataFrame([(x,) for x in xs], "id string") for xs in (ids, patterns)))
+    assert rows(got) == sorted({(i,) for i in ids if any(p in i for p in patterns)})
 
 
 def test_random_sample_is_a_subset(spark, rows):
