@@ -331,9 +331,9 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield from asker.rows()
         yield from asker.rows()
 
-    short = keyed.select("k1", "k2", "text")
-    shared = shared_places(map_arrow(short, symbol_rows, _ASK), buckets)
-    marked = short.join(shared, ["k1", "k2"], "left")
+    shared = shared_places(map_arrow(keyed.select("k1", "k2", "text"), symbol_rows, _ASK), buckets)
+    # both joins take the same columns, so that texts are shuffled once
+    marked = keyed.join(shared, ["k1", "k2"], "left")
     repeated = shared_places(map_arrow(marked, window_rows, _ASK), buckets)
     return keyed.join(repeated, ["k1", "k2"], "left").drop("k1", "k2")
 
