@@ -39,8 +39,8 @@ WINDOW = 35
 ROUNDS, RUN_ROUNDS = 5, 1
 #: symbols of more words than this pair no further
 OPEN_WORDS = 4
-#: names that one batch of documents gathers before it passes them on, and bytes of names by bucket
-BATCH_NAMES, BUCKET_BYTES = 400_000, 24 << 20
+#: names that one batch of documents gathers before it passes them on, bytes of names by bucket, and buckets at least
+BATCH_NAMES, BUCKET_BYTES, LEAST_BUCKETS = 400_000, 24 << 20, 32
 _FAR = 1 << 40
 _ASK = "bucket int, name binary, check binary, docs binary, doc binary, place binary"
 _ASK_NAMES = ["bucket", "name", "check", "docs", "doc", "place"]
@@ -300,7 +300,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (doc_id, text and any columns) with ``places``: the first words of each row's windows of ``window``
     words whose sequence also starts elsewhere. Repeated rows repeat each other."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-int(size * 0.6) // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-int(size * 0.6) // BUCKET_BYTES))
     keyed = docs.drop("places").withColumns(dict(zip(("k1", "k2"), row_keys())))
 
     def symbol_rows(batches):
