@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as ops
 from .. import plans, sinks, sources
@@ -474,7 +475,7 @@ def json_rows(spark, sf_dir):
 @job
 def json_lookup(spark, sf_dir):
     events = I.table(spark, sf_dir, "events")
-    return events.select("event_id", F.explode(F.from_json("props", "map<string,bigint>")).alias("name", "k"))
+    return events.select("event_id", F.explode(sources.json_entries(F.col("props"), T.LongType())).alias("name", "k"))
 
 
 @job

@@ -1,4 +1,5 @@
 from .delimited import (
+    files_by_header,
     header_tail,
     read_delimited,
     read_kgx_edges,
@@ -10,12 +11,14 @@ from .delimited import (
     read_raw_nodes,
     with_ordinal,
 )
-from .lookups import read_category_info, read_normalization, read_predicate_info
+from .lookups import json_entries, read_category_info, read_normalization, read_predicate_info
 from .parquet import read_parquet_files
 from .snapshot import read_snapshot
 
 __all__ = [
+    "files_by_header",
     "header_tail",
+    "json_entries",
     "read_category_info",
     "read_delimited",
     "read_kgx_edges",

@@ -49,9 +49,14 @@ def read_category_info(spark: SparkSession, path: str, include: list[str]) -> Da
     return _keyed(rows, ["category"], "file").select("category", "file")
 
 
+def json_entries(json: Column, kind: T.DataType) -> Column:
+    """JSON object to a map: key to its value of the given type, or to null."""
+    return F.from_json(json, T.MapType(T.StringType(), kind))
+
+
 def normalization_entries(json: Column) -> Column:
     """JSON object to a map: identifier to its record, or to null."""
-    return F.from_json(json, T.MapType(T.StringType(), NORMALIZATION_RECORD))
+    return json_entries(json, NORMALIZATION_RECORD)
 
 
 def read_normalization(spark: SparkSession, path: str | list[str]) -> DataFrame:
