@@ -27,9 +27,8 @@ def _head(df: DataFrame, rows: int, order_by: Iterable[str] | None) -> DataFrame
 
 def _cells(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
     """Long form (ordinal, value), values as text."""
-    values = F.array(*[named(c).cast("string") for c in ordinals])
-    long = df.select(F.posexplode(values).alias("place", "value"))
-    return long.select(F.get(F.array(*[F.lit(i) for i in ordinals.values()]), "place").alias("ordinal"), "value")
+    cells = [F.struct(F.lit(i).alias("ordinal"), named(c).cast("string").alias("value")) for c, i in ordinals.items()]
+    return df.select(F.inline(F.array(*cells)))
 
 
 def _by_ordinal(values: dict[int, str]) -> Column:

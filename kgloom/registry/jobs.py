@@ -139,9 +139,9 @@ def connected_nodes(spark, sf_dir):
 # --- samples --------------------------------------------------------------------------
 
 
-def _sample(spark, sf_dir, match):
+def _sample(spark, sf_dir, match, **options):
     nodes, edges = graph_nodes(spark, sf_dir), stored_edges(spark, sf_dir, *EDGE_KEYS)
-    return plans.sample_subgraph(nodes, edges, SAMPLE_SIZE, match=match)
+    return plans.sample_subgraph(nodes, edges, SAMPLE_SIZE, match=match, **options)
 
 
 @job
@@ -151,7 +151,7 @@ def sample_edges_substring(spark, sf_dir):
 
 @job
 def sample_nodes_substring(spark, sf_dir):
-    return _sample(spark, sf_dir, "substring")[0]
+    return _sample(spark, sf_dir, "substring", materialize=True)[0]
 
 
 @job
@@ -629,7 +629,7 @@ def schema_snapshot_columns(spark, sf_dir):
 
 
 def _spec(spark, sf_dir):
-    nodes, edges = graph_nodes(spark, sf_dir), graph_edges(spark, sf_dir)
+    nodes, edges = graph_nodes(spark, sf_dir), stored_edges(spark, sf_dir)
     return plans.generation_spec(nodes, edges)
 
 
