@@ -37,18 +37,26 @@ def _encoding(path: str):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=known.added)
 
 
+def _ids(text: str, path: str) -> np.ndarray:
+    """Ids of a text. ``tiktoken`` refuses texts with runs of about a million blanks; these go through the vocabulary."""
+    encoding = _encoding(path)
+    try:
+        return np.array(encoding.encode(text, allowed_special=encoding.special_tokens_set), "<u4")
+    except ValueError:
+        return np.frombuffer(vocabulary(path).encode(text), "<u4")
+
+
 def tokenized(docs: DataFrame, path: str, end: int = END_OF_DOCUMENT) -> DataFrame:
     """(doc_id, part, before, n, ids): each document's ids as little-endian unsigned 32-bit integers, its
     partition, and the tokens of the partition's documents before it. Null and empty texts are the end mark alone."""
 
     def run(batches):
-        encoding, before = _encoding(path), 0
-        special = set(encoding.special_tokens_set)
+        before = 0
         for piece in text_chunks(batches, "text"):
             found = []
             for text in piece.column("text").to_pylist():
-                ids = encoding.encode(text, allowed_special=special) if text else []
-                found.append(np.array([*ids, end], "<u4").tobytes())
+                ids = _ids(text, path).tobytes() if text else b""
+                found.append(ids + end.to_bytes(4, "little"))
             sizes = np.array([len(x) // 4 for x in found], np.int64)
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())

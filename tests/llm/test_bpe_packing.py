@@ -90,6 +90,17 @@ def test_packing(spark, edge_docs, clashing_docs, length):
         assert whole == Counter((r.doc_id, (*ids_of(r.text), 1)) for r in edge_docs.collect())
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_packing_long_runs_of_blanks(spark, blank):
+    text = "a" + blank * 1_200_000 + "<|endoftext|> b"
+    pieces = packing.pack(spark.createDataFrame([(1, text), (2, "one two")], "doc_id long, text string"), PATH).collect()
+    found = {1: b"", 2: b""}
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+        found[p.doc_id] += bytes(p.ids)
+    assert np.frombuffer(found[1], "<u4").tolist() == [*ids_of(text), 1]
+    assert np.frombuffer(found[2], "<u4").tolist() == [*ids_of("one two"), 1]
+
+
 def test_packing_nothing(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
 
