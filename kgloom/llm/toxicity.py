@@ -1,7 +1,9 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained: one on ordinary text, one on toxic text, that is on
-the segments which toxic texts hold far more often than ordinary ones. A window of words is
+the segments which toxic texts hold far more often than ordinary ones (on windows of toxic
+texts where there are no such segments). Segments are words or, in writing without blanks,
+runs of characters. A window of words is
 compressed with the ordinary dictionary, and with the toxic one laid before it (so that what
 both know costs the same and differences are the toxic segments' alone). The gap between the
 two lengths is compared with a threshold calibrated on ordinary windows; the windows over it
@@ -13,6 +15,7 @@ the id); scoring reads every whole text once, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -21,16 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, held_out, map_arrow, table, text_chunks
+from .common import held_out, map_arrow, mixed, table, text_chunks
 
 #: labelled documents of each label that training takes at most, about
 TRAIN_DOCS = 12_000
 #: windows of ordinary text for the ordinary dictionary, and its bytes
 ORDINARY_WINDOWS, ORDINARY_BYTES = 60_000, 64_000
-#: toxic segments at most; a segment is in this share of the toxic texts (and some of them), and so many times as
-#: often as in ordinary ones
-TOXIC_SEGMENTS, SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO = 2_000, 0.02, 5, 8.0
+#: toxic segments at most, those of most evidence; a segment is in some toxic texts and so many times as often in them
+#: as in ordinary ones, and there is evidence for it (by the log-likelihood ratio; 15 is one in 10,000 by chance) or it
+#: is in this share of all toxic texts
+TOXIC_SEGMENTS, SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_EVIDENCE = 2_000, 0.02, 5, 8.0, 15.0
+#: bytes of a word that is a segment; of longer ones (writing without blanks) runs of so many characters are
+WORD_BYTES, RUN_CHARACTERS, RUN_BYTES = (3, 40), (2, 4, 6), 6
+#: rows that a task hands on at once, about
+SEGMENT_ROWS = 50_000
 WINDOW_WORDS = 12
+#: a window inside a long word has about so many bytes, and at least so many characters
+WINDOW_BYTES, WINDOW_CHARACTERS = 75, 30
 LEVEL = 6
 #: share of ordinary windows that may reach the window threshold
 FALSE_WINDOWS = 0.005
@@ -62,8 +72,39 @@ def _compressors(ordinary: bytes, toxic: bytes):
 
 
 def windows(text: bytes) -> list[bytes]:
+    """Windows of words; a long word has windows of its own, which overlap by less than the longest run."""
     words = text.split()
-    return [b" " + b" ".join(words[i : i + WINDOW_WORDS]) + b" " for i in range(0, len(words), WINDOW_WORDS)]
+    ends = [i for i, w in enumerate(words) if len(w) > WORD_BYTES[1]]
+    out, at = [], 0
+    for end in [*ends, len(words)]:
+        out += [b" " + b" ".join(words[i : min(i + WINDOW_WORDS, end)]) + b" " for i in range(at, end, WINDOW_WORDS)]
+        at = end + 1
+        if end < len(words):
+            word, overlap = words[end].decode(), RUN_CHARACTERS[-1] - 1
+            size = max(WINDOW_CHARACTERS, WINDOW_BYTES * len(word) // len(words[end]))
+            out += [b" " + word[i : i + size].encode() + b" " for i in range(0, max(1, len(word) - overlap), size - overlap)]
+    return out
+
+
+def segments(text: bytes) -> Iterator[list[str]]:
+    """Every segment of a text once, in lists."""
+    words = set(text.split())
+    least, most = WORD_BYTES
+    yield [w.decode() for w in words if least <= len(w) <= most]
+    long = " ".join(w.decode() for w in words if len(w) > most)
+    points = np.frombuffer(long.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    for k in RUN_CHARACTERS:
+        n = len(points) - k + 1
+        if n < 1:
+            continue
+        hashed, inside = np.zeros(n, np.uint64), np.ones(n, bool)
+        for j in range(k):
+            hashed = mixed(hashed ^ (points[j : j + n] + np.uint64(1)))
+            inside &= points[j : j + n] != 32
+        firsts = np.flatnonzero(inside)[np.unique(hashed[inside], return_index=True)[1]]
+        for at in range(0, len(firsts), SEGMENT_ROWS):
+            runs = [long[i : i + k] for i in firsts[at : at + SEGMENT_ROWS].tolist()]
+            yield [r for r in runs if len(r.encode()) >= RUN_BYTES]
 
 
 def gaps(text: bytes, ordinary: bytes, toxic: bytes) -> np.ndarray:
@@ -94,7 +135,25 @@ def _gap_rows(docs: DataFrame, model: ToxicityModel, threshold: int) -> DataFram
     return map_arrow(docs.select("text", "toxic"), run, "toxic int, x array<double>, tail array<long>")
 
 
-def _ordinary_dictionary(docs: DataFrame) -> bytes:
+def _segment_rows(docs: DataFrame) -> DataFrame:
+    """(toxic, word): the segments of each row of (toxic, text), each once."""
+
+    def run(batches):
+        toxic, found = [], []
+        for piece in text_chunks(batches, "text"):
+            for label, text in zip(piece.column("toxic").to_pylist(), piece.column("text").to_pylist()):
+                for some in segments(text.encode()):
+                    found += some
+                    toxic += [label] * len(some)
+                    if len(found) >= SEGMENT_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.string())], ["toxic", "word"])
+                        toxic, found = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(found, pa.string())], ["toxic", "word"])
+
+    return map_arrow(docs.select("toxic", "text"), run, "toxic int, word string")
+
+
+def _trained_dictionary(docs: DataFrame) -> bytes:
     import zstandard
 
     def run(batches):
@@ -115,16 +174,18 @@ def _ordinary_dictionary(docs: DataFrame) -> bytes:
 
 
 def _toxic_dictionary(docs: DataFrame, segment_share: float, segment_ratio: float) -> bytes:
-    """Segments of toxic texts, the commonest last (the nearest of equal matches is the cheapest)."""
+    """Segments of toxic texts, those of most evidence last (the nearest of equal matches is the cheapest)."""
     once = docs.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
     sizes = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    words = F.array_distinct(F.split("text", SPACE_CLASS, -1))
-    rows = once.select("toxic", F.explode(words).alias("word")).where(F.octet_length("word").between(3, 40))
-    counts = rows.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("fine"))
+    counts = _segment_rows(once).groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("fine"))
     rate = (F.col("bad") / max(1, sizes.get(1, 0))) / ((F.col("fine") + 0.5) / max(1, sizes.get(0, 0)))
     least = max(SEGMENT_TEXTS, segment_share * sizes.get(1, 0))
-    found = counts.where((F.col("bad") >= least) & (rate >= segment_ratio))
-    top = found.orderBy(F.desc("bad"), "word").limit(TOXIC_SEGMENTS).collect()
+    both, bad_share = F.col("bad") + F.col("fine"), sizes.get(1, 0) / max(1, sum(sizes.values()))
+    expected = lambda n, share: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * share))).otherwise(0.0)
+    evidence = 2 * (expected("bad", bad_share) + expected("fine", 1 - bad_share))
+    found = counts.where((F.col("bad") >= SEGMENT_TEXTS) & (rate >= segment_ratio)).withColumn("evidence", evidence)
+    found = found.where((F.col("bad") >= least) | (F.col("evidence") >= SEGMENT_EVIDENCE))
+    top = found.orderBy(F.desc("evidence"), F.desc("bad"), "word").limit(TOXIC_SEGMENTS).collect()
     return (" " + " ".join(r.word for r in reversed(top)) + " ").encode() if top else b""
 
 
@@ -161,10 +222,10 @@ def fit(
     # at most about 2 x train_docs rows of two numbers
     chosen = known.where(draw < share)
     train = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    toxic = _toxic_dictionary(train, segment_share, segment_ratio)
+    toxic = _toxic_dictionary(train, segment_share, segment_ratio) or _trained_dictionary(train.where("toxic = 1"))
     if not toxic:
         return ToxicityModel()
-    model = ToxicityModel(_ordinary_dictionary(train.where("toxic = 0")), toxic)
+    model = ToxicityModel(_trained_dictionary(train.where("toxic = 0")), toxic)
     tails = _gap_rows(train.where("toxic = 0"), model, 2).select(F.posexplode("tail").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
     reached = {r.k: r.n for r in tails.collect()}
     within = [k for k in range(1, 9) if reached.get(k, 0) <= FALSE_WINDOWS * max(1, reached.get(0, 0))]

@@ -84,6 +84,48 @@ def test_toxic_texts_are_found(spark, prose, clashing_docs, no_docs):
     assert not unable.able and {r.score for r in toxicity.predict(docs.limit(3), unable).collect()} == {0.0}
 
 
+def test_toxic_words_of_few_texts_are_learned(spark, prose):
+    """A word in 7 of 407 toxic texts and in no other, as of a language with few texts."""
+    rows, labels = toxic_rows(prose, 1_600)
+    rows += [(2_000 + i, prose(9_000 + i, 60, ("щи", "ро", "ка")) + " мерзавец") for i in range(7)]
+    labels += [(2_000 + i, 1) for i in range(7)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert " мерзавец ".encode() in model.toxic and b" vermin " in model.toxic
+
+
+def test_toxic_texts_without_blanks_are_found(spark):
+    draw = random.Random(5)
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    rows, labels = [], []
+    for i in range(400):
+        text = draw.choices(letters, k=150)
+        if i % 4 == 0:
+            for w in draw.sample(["龍虎", "龜鳥", "鼠鹿馬"], 2):
+                text.insert(draw.randrange(len(text)), w)
+        rows.append((i, "".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs.where("doc_id % 3 <> 1"), known)
+    found = {r.doc_id: r.predicted for r in toxicity.predict(docs.where("doc_id % 3 = 1"), model).collect()}
+    assert np.mean([p == dict(labels)[i] for i, p in found.items()]) > 0.9
+
+
+def test_toxic_texts_without_segments_train_a_dictionary(spark, prose):
+    rows = [(i, prose(i, 60, ("ba", "ko", "ri") if i % 2 else ("щи", "ро", "ка"))) for i in range(6)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, known, segment_ratio=1e9).able
+
+
+def test_segments_of_long_words():
+    text = "aa bbb " + "字" * 3 + "ab" * 30 + " ccc ccc"
+    found = [w for some in toxicity.segments(text.encode()) for w in some]
+    assert sorted(found) == sorted({"bbb", "ccc", "字字", "字字字a", "字字ab", "字aba", "字字字aba", "字字abab", "字ababa", "ababab", "bababa"})
+    words = "".join(chr(0x4E00 + i) for i in range(200))
+    pieces = toxicity.windows(f"one {words} two".encode())
+    assert pieces[0] == b" one " and pieces[-1] == b" two "
+    assert all(any(words[i : i + 6].encode() in p for p in pieces) for i in range(195))
+
+
 def test_windows_hold_every_word():
     text = " ".join(f"w{i}" for i in range(50)).encode()
     assert b"".join(toxicity.windows(text)).split() == text.split()
