@@ -1,8 +1,10 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Training counts hashed bigrams and trigrams of letters per language, one narrow pass and
-one aggregate; the log-probability matrix (languages x buckets, bounded by parameters) is
-broadcast, and texts are scored in numpy by sparse gathers, a chunk of texts at a time.
+one aggregate; the log-probability matrix (languages x buckets) is broadcast in slices of
+languages, and texts are scored in numpy by sparse gathers, a chunk of texts and a slice at a
+time. Beyond one slice, counts are written to the shared folder and read back by slices, so
+neither driver nor worker holds more than one.
 """
 
 from __future__ import annotations
@@ -14,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgloom.session import materialized
+
 from .common import held_out, map_arrow, mixed, table, text_bytes, text_chunks
 
 BUCKETS = 1 << 15
 #: the classifier is fitted on about so many labelled documents of each language, chosen by a hash of the id
 TRAIN_DOCS = 40_000
-MAX_LANGUAGES = 64
+#: languages that are counted, fitted and scored at once
+SLICE_LANGUAGES = 64
 UNDETERMINED = "und"
 
 
@@ -60,11 +65,21 @@ def ngram_counts(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     def count(batches):
         total: dict[str, np.ndarray] = {}
         for piece in text_chunks(batches, "text"):
-            langs = np.array(piece.column("lang").to_pylist(), object)
+            langs, codes = np.unique(np.array(piece.column("lang").to_pylist(), object), return_inverse=True)
             ids, owners = hashed_ngrams(piece.column("text"), buckets)
-            for lang in set(langs):
-                mine = (langs == lang)[owners]
-                total[lang] = total.get(lang, 0) + np.bincount(ids[mine], minlength=buckets)
+            for first in range(0, len(langs), SLICE_LANGUAGES):
+                some = langs[first : first + SLICE_LANGUAGES]
+                mine = ((codes >= first) & (codes < first + len(some)))[owners]
+                keys = (codes[owners[mine]] - first) * buckets + ids[mine]
+                counts = np.bincount(keys, minlength=len(some) * buckets).reshape(len(some), buckets)
+                for lang, n in zip(some, counts):
+                    total[lang] = total.get(lang, 0) + n
+                if len(total) > SLICE_LANGUAGES:
+                    yield from rows_of(total)
+                    total = {}
+        yield from rows_of(total)
+
+    def rows_of(total):
         for lang, counts in total.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -76,48 +91,78 @@ def ngram_counts(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _read(part) -> np.ndarray:
+    """A slice, which a worker reads from its file again each time and does not keep."""
+    if isinstance(part, np.ndarray):
+        return part
+    path = getattr(part, "_path", None)
+    return part.load_from_path(path) if path else part.value
+
+
 class LanguageModel:
-    """Languages in order, log prior and log probability of each bucket (buckets x languages)."""
+    """Languages in order, log priors, and slices of log probabilities (buckets x languages), arrays or broadcast ones."""
 
-    def __init__(self, languages: list[str], prior: np.ndarray, weights: np.ndarray):
-        self.languages, self.prior, self.weights = languages, prior, weights
+    def __init__(self, languages: list[str], prior: np.ndarray, slices: list, buckets: int = BUCKETS):
+        self.languages, self.prior, self.slices, self.buckets = languages, prior, slices, buckets
 
     def score(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(best language's number, its posterior) of each text."""
-        ids, owners = hashed_ngrams(column, len(self.weights))
-        sums = np.stack(
-            [np.bincount(owners, self.weights[ids, k], minlength=len(column)) for k in range(len(self.languages))], 1
-        )
-        sums = sums + self.prior  # counts of no text at all are integers
-        sums -= sums.max(1, keepdims=True)
-        odds = np.exp(sums)
-        odds /= odds.sum(1, keepdims=True)
-        best = odds.argmax(1)
-        return best, odds[np.arange(len(best)), best]
+        ids, owners = hashed_ngrams(column, self.buckets)
+        n, at = len(column), 0
+        best, top, total = np.zeros(n, np.int64), np.full(n, -np.inf), np.zeros(n)
+        for weights in map(_read, self.slices):
+            width = weights.shape[1]
+            sums = np.stack([np.bincount(owners, weights[ids, k], minlength=n) for k in range(width)], 1)
+            sums = sums + self.prior[at : at + width]  # counts of no text at all are integers
+            most = sums.max(1)
+            best = np.where(most > top, at + sums.argmax(1), best)
+            above = np.maximum(top, most)
+            total = total * np.exp(top - above) + np.exp(sums - above[:, None]).sum(1)
+            top, at = above, at + width
+        return best, 1 / total
 
 
 def fit(
     labelled: DataFrame,
     buckets: int = BUCKETS,
     train_docs: int = TRAIN_DOCS,
-    max_languages: int = MAX_LANGUAGES,
+    max_languages: int | None = None,
 ) -> LanguageModel | None:
     """Fit on rows of (doc_id, lang, text); rows without lang or text teach nothing. None: nothing to learn from."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_languages + 1).collect()}
+    per_language = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if max_languages is not None:
+        per_language = per_language.limit(max_languages + 1)
+    sizes = {r.lang: r.n for r in per_language.collect()}
     if not sizes:
         return None
-    if len(sizes) > max_languages:
+    if max_languages is not None and len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages: raise max_languages")
     draw = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, train_docs / n)])
-    counts = ngram_counts(labelled.where(draw < share[F.col("lang")]), buckets).toPandas()
+    # smaller languages are taken whole
+    large = [F.lit(x) for lang, n in sizes.items() if n > train_docs for x in (lang, train_docs / n)]
+    chosen = labelled.where(draw < F.coalesce(F.create_map(*large)[F.col("lang")], F.lit(1.0))) if large else labelled
+    counts = ngram_counts(chosen, buckets)
     languages = sorted(sizes)
+    prior = np.log([sizes[x] for x in languages]) - np.log(sum(sizes.values()))
+    if len(languages) <= SLICE_LANGUAGES:
+        return LanguageModel(languages, prior, [_weights(counts, languages, buckets)], buckets)
+    counts = materialized(counts.repartitionByRange("lang").sortWithinPartitions("lang"), "language-counts")
+    slices = []
+    for at in range(0, len(languages), SLICE_LANGUAGES):
+        some = languages[at : at + SLICE_LANGUAGES]
+        part = counts.where(F.col("lang").between(some[0], some[-1]))
+        slices.append(labelled.sparkSession.sparkContext.broadcast(_weights(part, some, buckets)))
+    return LanguageModel(languages, prior, slices, buckets)
+
+
+def _weights(counts: DataFrame, languages: list[str], buckets: int) -> np.ndarray:
+    """Log probability of each bucket in these languages."""
+    counts = counts.toPandas()
     table_ = np.full((buckets, len(languages)), 0.5)
     where = {lang: i for i, lang in enumerate(languages)}
     table_[counts["bucket"].to_numpy(int), counts["lang"].map(where).to_numpy(int)] += counts["n"].to_numpy(float)
-    prior = np.log([sizes[x] for x in languages]) - np.log(sum(sizes.values()))
-    return LanguageModel(languages, prior, np.log(table_ / table_.sum(0)))
+    return np.log(table_ / table_.sum(0))
 
 
 def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
@@ -130,12 +175,15 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.languages, model.prior, model.buckets))
+    slices = [spark.sparkContext.broadcast(x) if isinstance(x, np.ndarray) else x for x in model.slices]
     names = docs.columns
     marked = docs.withColumn("__letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches):
-        model = shared.value
+        languages, prior, buckets = shared.value
+        # a single slice is kept
+        model = LanguageModel(languages, prior, slices if len(slices) > 1 else [slices[0].value], buckets)
         for piece in text_chunks(batches, "text"):
             best, score = model.score(piece.column("text"))
             letters = piece.column("__letters").to_numpy(zero_copy_only=False)

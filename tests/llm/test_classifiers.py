@@ -38,6 +38,21 @@ def test_languages_are_told_apart(spark, prose, clashing_docs, no_docs):
         langid.fit(rows, max_languages=2)
 
 
+def test_more_languages_than_a_slice(spark, prose, monkeypatch):
+    """70 languages by two slices give what one slice gives."""
+    rows = [(i, prose(i, 30, [chr(0x4E00 + i % 70) + "a", chr(0x4E00 + i % 70) + "o"]), f"l{i % 70:02}") for i in range(280)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == [f"l{i:02}" for i in range(70)] and len(model.slices) == 2
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
+    assert all(found[i][0] == lang for i, _, lang in rows)
+    monkeypatch.setattr(langid, "SLICE_LANGUAGES", 100)
+    whole = langid.fit(docs)
+    assert len(whole.slices) == 1
+    for r in langid.predict(docs, whole).collect():
+        assert found[r.doc_id][0] == r.lang_pred and abs(found[r.doc_id][1] - r.score) < 1e-9
+
+
 def test_ngrams_stay_within_a_text():
     apart = langid.hashed_ngrams(pa.array(["ab", None, "", "cd"]))
     assert apart[1].tolist() == [0, 3]
