@@ -5,8 +5,9 @@ hold a line are counted; lines held by more documents than the limit are removed
 document that loses more than half of its words with them is rejected. Base rules
 (length, repetition) come first.
 
-Nothing is gathered by document: line rows are counted by (host, line) with partial
-aggregation, matched with the frequent lines by a splittable left join, and summed by row.
+Line rows are counted by (host, line) with partial aggregation and matched with the frequent
+lines by a splittable join; the places of removed lines are gathered by row and joined with
+the texts, which are shuffled once.
 """
 
 from __future__ import annotations
@@ -93,6 +94,16 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), SPACE_CLASS, " "))
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """``text`` without its lines at ``places`` (from 0); other lines stay as they are."""
+
+    def kept(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return _let(F.split(text, "\n", -1), kept)
+
+
 def quality_rules(
     docs: DataFrame,
     host: str = "source",
@@ -101,27 +112,20 @@ def quality_rules(
     min_words: int = MIN_WORDS,
     max_repeat_percent: int = MAX_REPEAT_PERCENT,
 ) -> DataFrame:
-    """Counts and verdict for each row of ``docs`` (doc_id, text and the host column; others are ignored).
+    """Counts, verdict and text without frequent lines (``clean_text``) for each row of ``docs`` (doc_id, text and the host column; others are ignored).
 
-    A null text has no words and fails the base rules. A null host is a host of its own.
+    A null text has no words, fails the base rules and stays null. A null host is a host of its own.
     Repeated rows count as documents each, and each gets its own result.
     """
-    based = docs.select(
-        F.monotonically_increasing_id().alias("__row"), "doc_id", F.col(host).alias("__host"),
-        F.coalesce("text", F.lit("")).alias("__text"), *[c.alias(n) for n, c in base_counts(F.col("text")).items()],
-    )
-    base = F.struct(
-        "doc_id", F.col("__words.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-        F.col("__words.r").alias("n_repeat_words"),
-    )
-    lines = F.transform(
-        F.split("__text", "\n", -1),
-        lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words(x)).alias("words")),
-    )
-    # the first line of a document carries its counts, so that they need no join
-    rows = based.select("__row", "__host", base.alias("base"), F.posexplode(lines).alias("at", "l")).select(
-        "__row", "__host", F.when(F.col("at") == 0, F.col("base")).alias("base"), "l.line", "l.words"
+    text = F.coalesce("text", F.lit(""))
+    # two hashes name a row; equal rows share them, and their results
+    row = [F.xxhash64(F.lit(i), "doc_id", F.col(host), "text").alias(f"__k{i}") for i in (1, 2)]
+    based = docs.select(*row, "doc_id", F.col("text").alias("__text"), *[c.alias(n) for n, c in base_counts(F.col("text")).items()])
+    filled = F.filter(
+        F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda l: ~l["line"].rlike(_BLANK)
     )
+    lines = F.transform(filled, lambda l: F.struct(l["at"].alias("at"), F.xxhash64(normalised(l["line"])).alias("line")))
+    rows = docs.select(*row, F.col(host).alias("__host"), F.explode(lines).alias("l")).select("__k1", "__k2", "__host", "l.at", "l.line")
     lines_of = docs.select(
         F.col(host).alias("__host"),
         F.explode(
@@ -141,22 +145,29 @@ def quality_rules(
     same = (
         (rows["key"] == frequent["key"]) & rows["__host"].eqNullSafe(frequent["host2"]) & (rows["line"] == frequent["line2"])
     )
+    removed = rows.join(frequent, same).groupBy("__k1", "__k2").agg(F.collect_set("at").alias("__removed"))
+    # again a computed key, as equal rows may be many
+    named = F.xxhash64("__k1", "__k2")
+    removed = removed.select(named.alias("__of"), F.col("__k1").alias("__r1"), F.col("__k2").alias("__r2"), "__removed")
+    of_row = (F.col("__own") == F.col("__of")) & (F.col("__k1") == F.col("__r1")) & (F.col("__k2") == F.col("__r2"))
     judged = (
-        rows.join(frequent, same, "left")
-        .groupBy("__row")
-        .agg(
-            F.max("base").alias("base"),
-            F.sum(F.when(F.col("n_docs").isNotNull(), F.col("words")).otherwise(0)).alias("n_removed_words"),
+        based.withColumn("__own", named)
+        .join(removed, of_row, "left")
+        .withColumn("clean_text", F.when(F.col("__removed").isNull(), F.col("__text")).otherwise(without_lines(F.col("__text"), F.col("__removed"))))
+        .withColumn("n_words", F.col("__words.n"))
+        .withColumn("n_left", F.when(F.col("__removed").isNull(), F.col("n_words")).otherwise(F.size(words(F.col("clean_text")))))
+        .select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.col("__words.r").alias("n_repeat_words"),
+            (F.col("n_words") - F.col("n_left")).alias("n_removed_words"), "clean_text",
         )
-        .select("base.*", "n_removed_words")
-    )
+    )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     depleted = 100 * F.col("n_removed_words") > max_loss_percent * F.col("n_words")
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
 def op9_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 OP9_SQL = """

@@ -73,6 +73,16 @@ def test_line_rules_match_sql(spark, edge_docs, tmp_path):
     assert verdict[300].n_removed_words == 60 and not verdict[300].kept
 
 
+def test_frequent_lines_are_removed(spark):
+    rows = [(i, f"Menu  Home\n\nown {i} \n MENU home\n \nlast {i}", "h") for i in range(25)]
+    rows += [(50, "menu home\nother host", "g"), (51, None, "h"), (52, "menu home", "h"), (52, "menu home", "h"), (53, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = Counter((r.doc_id, r.clean_text, r.n_removed_words) for r in line_rules.quality_rules(docs.repartition(3)).collect())
+    want = Counter((i, f"\nown {i} \n \nlast {i}", 4) for i in range(25))
+    want += Counter([(50, "menu home\nother host", 0), (51, None, 0), (52, "", 2), (52, "", 2), (53, "", 0)])
+    assert got == want
+
+
 def test_repeated_windows(spark):
     texts = ["a b c d a b c", "x x x x", "a b", "", "a a a", "p q r s p q r s p q", "one two three"]
     docs = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id int, text string, source string")
