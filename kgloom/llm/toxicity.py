@@ -31,9 +31,9 @@ TRAIN_DOCS = 12_000
 #: windows of ordinary text for the ordinary dictionary, and its bytes
 ORDINARY_WINDOWS, ORDINARY_BYTES = 60_000, 64_000
 #: toxic segments at most, those of most evidence; a segment is in some toxic texts and so many times as often in them
-#: as in ordinary ones, and there is evidence for it (by the log-likelihood ratio; 15 is one in 10,000 by chance) or it
-#: is in this share of all toxic texts
-TOXIC_SEGMENTS, SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_EVIDENCE = 2_000, 0.02, 5, 8.0, 15.0
+#: as in ordinary ones, and there is evidence for it (by the log-likelihood ratio, more than the rare words of a few dozen
+#: near copies have: at 15 these made 901 segments of check_s and hid the others) or it is in this share of all toxic texts
+TOXIC_SEGMENTS, SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_EVIDENCE = 2_000, 0.02, 5, 8.0, 150.0
 #: bytes of a word that is a segment; of longer ones (writing without blanks) runs of so many characters are
 WORD_BYTES, RUN_CHARACTERS, RUN_BYTES = (3, 40), (2, 4, 6), 6
 #: rows that a task hands on at once, about

@@ -100,12 +100,14 @@ def test_toxic_texts_are_found(spark, prose, clashing_docs, no_docs):
 
 
 def test_toxic_words_of_few_texts_are_learned(spark, prose):
-    """A word in 7 of 407 toxic texts and in no other, as of a language with few texts."""
-    rows, labels = toxic_rows(prose, 1_600)
-    rows += [(2_000 + i, prose(9_000 + i, 60, ("щи", "ро", "ка")) + " мерзавец") for i in range(7)]
-    labels += [(2_000 + i, 1) for i in range(7)]
-    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
-    assert " мерзавец ".encode() in model.toxic and b" vermin " in model.toxic
+    """A word in 60 of 3,160 toxic texts and in no other, as of a language with few texts."""
+    rows = [(i, prose(i, 12) + (" vermin" if i % 4 == 0 else "")) for i in range(12_400)]
+    labels = [(i, int(i % 4 == 0)) for i, _ in rows]
+    rows += [(20_000 + i, prose(90_000 + i, 12, ("щи", "ро", "ка")) + " мерзавец") for i in range(60)]
+    labels += [(20_000 + i, 1) for i in range(60)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = toxicity._toxic_dictionary(docs.join(known, "doc_id"), toxicity.SEGMENT_SHARE, toxicity.SEGMENT_RATIO)
+    assert " мерзавец ".encode() in found and b" vermin " in found
 
 
 def test_toxic_texts_without_blanks_are_found(spark):
