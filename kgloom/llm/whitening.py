@@ -13,15 +13,15 @@ anything is divided, so the mean does not depend on the order of the rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kgloom.session import materialized
+from kgloom.session import materialized, scratch_path
 
 from .common import numbered_parts, table
 
@@ -57,16 +57,33 @@ def indexed(rows: DataFrame, label: str) -> tuple[DataFrame, int]:
     return found.drop("__row", "__part", "__shift"), rows.count()
 
 
-def block_matrix(rows: DataFrame, mean: np.ndarray, n: int) -> BlockMatrix:
-    """Rows (at, x) less the mean, as blocks."""
-    d = len(mean)
+def block_matrix(rows: DataFrame, mean: np.ndarray, n: int, label: str) -> BlockMatrix:
+    """Rows (at, x) less the mean, as blocks.
+
+    A block is gathered from its rows, a set number of bytes, and written in the layout of MLlib's matrix type, as which
+    it is read again. (``IndexedRowMatrix.toBlockMatrix`` would send a pair of objects for each entry.)
+    """
+    spark, d = rows.sparkSession, len(mean)
+    wide = min(d, BLOCK_COLUMNS)
+    per_block = max(1, BLOCK_BYTES // (8 * wide))
+    parts = numbered_parts(spark, n * d * 8, TASK_BYTES)
+    near = rows.select(F.expr(f"at div {per_block}").alias("i"), "at", "x").repartition(parts, "i")
+    gathered = near.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("rows"))
     centre = F.lit([float(m) for m in mean])
-    centred = F.zip_with("x", centre, lambda x, m: x.cast("double") - m)
-    per_block = max(1, BLOCK_BYTES // (8 * min(d, BLOCK_COLUMNS)))
-    parts = numbered_parts(rows.sparkSession, n * d * 8, TASK_BYTES)
-    vectors = rows.select(F.col("at").alias("index"), array_to_vector(centred).alias("vector")).repartition(parts, "index")
-    vectors = MLUtils.convertVectorColumnsFromML(vectors, "vector")
-    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(per_block, min(d, BLOCK_COLUMNS))
+    centred = lambda r: F.zip_with(r["x"], centre, lambda x, m: x.cast("double") - m)
+    each = gathered.select("i", F.transform("rows", centred).alias("rows"), F.explode(F.sequence(F.lit(0), F.lit((d - 1) // wide))).alias("j"))
+    part = F.transform("rows", lambda r: F.slice(r, F.col("j") * wide + 1, F.lit(wide)))
+    none = F.lit(None).cast("array<int>")
+    dense = F.struct(
+        F.lit(1).cast("byte").alias("type"), F.size("rows").alias("numRows"), F.least(F.lit(wide), F.lit(d) - F.col("j") * wide).cast("int").alias("numCols"),
+        none.alias("colPtrs"), none.alias("rowIndices"), F.flatten(part).alias("values"), F.lit(True).alias("isTransposed"),
+    )
+    blocks = each.select(F.struct(F.col("i").alias("_1"), F.col("j").cast("long").alias("_2")).alias("_1"), dense.alias("_2"))
+    path = scratch_path(spark, label)
+    blocks.write.parquet(path)
+    kind = T.StructType([T.StructField("_1", T.StructType([T.StructField("_1", T.LongType()), T.StructField("_2", T.LongType())])), T.StructField("_2", MatrixUDT())])
+    stored = spark.read.schema(kind).parquet(path).repartition(parts, "_1")
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", stored, per_block, wide, n, d), per_block, wide)
 
 
 def gram(matrix: BlockMatrix) -> np.ndarray:
@@ -120,7 +137,7 @@ def whiten(vectors: DataFrame, vector: str = "embedding", components: int = COMP
     mean = np.array([s / n for s in total])
     values, basis, error = np.zeros(0), np.zeros((d, 0)), 0.0
     if n and d:
-        matrix = block_matrix(fit.select("at", "x"), mean, n)
+        matrix = block_matrix(fit.select("at", "x"), mean, n, "whitening-fit-blocks")
         covariance = gram(matrix) / n
         values, basis = np.linalg.eigh((covariance + covariance.T) / 2)
         values, basis = values[::-1], basis[:, ::-1]
@@ -129,7 +146,7 @@ def whiten(vectors: DataFrame, vector: str = "embedding", components: int = COMP
     k = basis.shape[1]
     if k:
         error = float(np.abs(gram(times(matrix, basis)) / n - np.eye(k)).max())
-        projected = rows_of(times(block_matrix(rows.select("at", "x"), mean, n_rows), basis))
+        projected = rows_of(times(block_matrix(rows.select("at", "x"), mean, n_rows, "whitening-blocks"), basis))
         rows = rows.join(projected, "at")
     else:
         rows = rows.withColumn("values", F.array().cast("array<double>"))
