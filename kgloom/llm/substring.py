@@ -10,29 +10,35 @@ its context: the words on which its being cut out just so depends.
 A window of words can then be repeated only if every symbol whose context lies inside it
 occurs elsewhere too. Jobs on Spark:
 
-1. every document is parsed; symbol names are counted over the corpus, and a document gets
+1. equal rows become one with the number of its copies: all of a copied row's windows are
+   repeated, so it only tells others what it holds and asks nothing;
+2. every document is parsed; symbol names are counted over the corpus, and a document gets
    back which of its symbols are shared;
-2. windows with an unshared symbol inside are out; the rest, some per cent on ordinary text
+3. windows with an unshared symbol inside are out; the rest, some per cent on ordinary text
    and all of what is repeated, are verified by 96-bit hashes of their words, counted in the
    same way;
-3. words covered by a repeated window are removed.
+4. words covered by a repeated window are removed.
+
+A word's names are two halves of a 128-bit hash of its bytes; longer sequences are named by
+doubling: two halves of equal length, or a run and its length, are put together and mixed
+again, so that no sum of powers can vanish for texts made to that end.
 
 Names travel as packed arrays by bucket, those that a batch of documents holds several times
 only once, so a name that a third of the corpus shares costs one entry a batch. Everything is
-a function of the text, and documents are addressed by two hashes of id and text; tasks can be
+a function of the text, and rows are addressed by two hashes of all they hold; tasks can be
 run again at will.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_arrow, mixed, row_keys, table, text_bytes, text_chunks
+from .common import map_arrow, mixed, table, text_bytes, text_chunks
 
 WINDOW = 35
 #: rounds, and those of them that name runs (later symbols side by side may be equal and just stay two)
@@ -41,33 +47,32 @@ ROUNDS, RUN_ROUNDS = 5, 1
 OPEN_WORDS = 4
 #: names that one batch of documents gathers before it passes them on, bytes of names by bucket, and buckets at least
 BATCH_NAMES, BUCKET_BYTES, LEAST_BUCKETS = 400_000, 24 << 20, 32
+#: copies of a row that one task puts out
+COPIES_A_ROW = 4_096
 _FAR = 1 << 40
+#: in place of a document, of those that ask nothing
+_QUIET = 0xFFFFFFFF
 _ASK = "bucket int, name binary, check binary, docs binary, doc binary, place binary"
 _ASK_NAMES = ["bucket", "name", "check", "docs", "doc", "place"]
 
 
-@lru_cache(maxsize=4)
-def _lane(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-    powers = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        factors = np.full(size + 1, b, np.uint64)
-        factors[0] = 1
-        powers.append(np.multiply.accumulate(factors))
-    return tuple(powers)
-
+def _together(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Names of sequences made of two."""
+    return mixed(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
-def _stretch_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
-    """A hash of the values in each stretch, wherever it lies."""
-    size = 1 << max(16, int(len(values)).bit_length())
-    up, down = _lane(base, size)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)], dtype=np.uint64)])
-    return mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
 
-
-@lru_cache(maxsize=2)
-def _byte_values(lane: int) -> np.ndarray:
-    return mixed(np.arange(1 + 256 * lane, 257 + 256 * lane, dtype=np.uint64))
+def window_names(names: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Names of the windows that begin at ``at``, by doubling: of powers of two side by side."""
+    found, done, size = None, 0, 1
+    while True:
+        if window & size:
+            part = names[at + done]
+            found = part if found is None else _together(found, part)
+            done += size
+        if done == window:
+            return found
+        names = _together(names[:-size], names[size:])
+        size *= 2
 
 
 class Words:
@@ -86,8 +91,22 @@ class Words:
         self.firsts = np.searchsorted(self.starts, offsets)
         self.doc = np.repeat(np.arange(len(column)), np.diff(self.firsts))
 
+        self._names: np.ndarray | None = None
+
     def hashes(self, lane: int) -> np.ndarray:
-        return _stretch_hashes(_byte_values(lane)[self.data], self.starts, self.stops, 0x9E3779B97F4A7C15 + 2 * lane)
+        """One half of the hash of each word; each distinct word of the piece is hashed once."""
+        if self._names is None:
+            sizes = self.stops - self.starts
+            inside = np.zeros(len(self.data) + 1, np.int8)
+            inside[self.starts] = 1
+            inside[self.stops] -= 1
+            letters = self.data[np.cumsum(inside[:-1]).astype(bool)] if len(sizes) else self.data[:0]
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))]
+            coded = pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers).dictionary_encode()
+            known = b"".join(xxhash.xxh3_128_digest(w) for w in coded.dictionary.to_pylist())
+            self._names = np.frombuffer(known, "<u8").reshape(-1, 2)[coded.indices.to_numpy(zero_copy_only=False)]
+        return self._names[:, lane].copy()
 
 
 class Symbols:
@@ -187,23 +206,30 @@ class Asker:
     """
 
     def __init__(self, buckets: int):
-        self.buckets, self.parts, self.docs, self.size = buckets, [], [], 0
+        self.buckets, self.parts, self.docs, self.size, self.n_docs = buckets, [], [], 0, 0
 
-    def add(self, keys: np.ndarray, doc: np.ndarray, name: np.ndarray, check: np.ndarray | None, place: np.ndarray) -> None:
-        base = sum(map(len, self.docs))
+    def add(self, keys: np.ndarray, copied: np.ndarray, doc: np.ndarray, name: np.ndarray, check: np.ndarray | None, place: np.ndarray) -> None:
+        """Of copied rows (they are told nothing) each name counts twice."""
+        base = self.n_docs
         self.docs.append(keys)
+        self.n_docs += len(keys)
         if check is None:
             check = np.zeros(len(name), "<u4")
-        self.parts.append((name, check, (doc + base).astype(np.uint32), place.astype(np.uint32)))
-        self.size += len(name)
+        quiet = copied[doc]
+        owner = np.where(quiet, _QUIET, doc + base).astype(np.uint32)
+        part = (name, check, owner, place.astype(np.uint32))
+        if quiet.any():
+            part = tuple(np.concatenate([x, x[quiet]]) for x in part)
+        self.parts.append(part)
+        self.size += len(part[0])
 
     def rows(self):
         if not self.size:
-            self.parts, self.docs = [], []
+            self.parts, self.docs, self.n_docs = [], [], 0
             return
         keys = np.concatenate(self.docs)
         name, check, doc, place = (np.concatenate(x) for x in zip(*self.parts))
-        self.parts, self.docs, self.size = [], [], 0
+        self.parts, self.docs, self.size, self.n_docs = [], [], 0, 0
         order = np.lexsort((check, name))
         name, check, doc, place = name[order], check[order], doc[order], place[order]
         same = (name[1:] == name[:-1]) & (check[1:] == check[:-1])
@@ -212,17 +238,19 @@ class Asker:
         several[:-1] |= same
         bucket = (name % np.uint64(self.buckets)).astype(np.int64)
         # (whose bucket, which entries, whether they ask): the known are answered in the bucket of their document
-        home = (keys[:, 0][doc] % np.uint64(self.buckets)).astype(np.int64)
-        for where, chosen, asks in ((bucket, fresh, True), (home, several, False)):
+        heard = doc != _QUIET
+        home = (keys[:, 0][np.where(heard, doc, 0)] % np.uint64(self.buckets)).astype(np.int64)
+        for where, chosen, asks in ((bucket, fresh, True), (home, several & heard, False)):
             at = np.flatnonzero(chosen)
             at = at[np.lexsort((place[at], doc[at], where[at]))]
             cuts = np.flatnonzero(np.concatenate([[True], where[at][1:] != where[at][:-1]])) if len(at) else []
             for a, b in zip(cuts, [*cuts[1:], len(at)]):
                 some = at[a:b]
-                used, local = np.unique(doc[some], return_inverse=True)
-                local = local.astype(np.uint32)
-                if asks:
-                    local[several[some]] = 0xFFFFFFFF
+                silent = several[some] if asks else np.zeros(len(some), bool)
+                used, local = np.unique(doc[some][~silent], return_inverse=True)
+                owner = np.full(len(some), _QUIET, np.uint32)
+                owner[~silent] = local
+                local = owner
                 cells = [name[some].tobytes(), check[some].tobytes() if check.any() else b""] if asks else [None, None]
                 cells += [keys[used].tobytes(), local.tobytes(), place[some].tobytes()]
                 arrays = [pa.array([int(where[some[0]])], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)]
@@ -239,7 +267,7 @@ def shared_places(asked: DataFrame, buckets: int) -> DataFrame:
             for name, check, docs, local, at in zip(*(batch.column(n).to_pylist() for n in _ASK_NAMES[1:])):
                 known = np.frombuffer(docs, "<u8").reshape(-1, 2)
                 local = np.frombuffer(local, "<u4").astype(np.int64)
-                silent = local == 0xFFFFFFFF
+                silent = local == _QUIET
                 local = np.where(silent, -1, local + base)
                 base += len(known)
                 keys.append(known)
@@ -296,12 +324,29 @@ def _places(piece: pa.RecordBatch, firsts: np.ndarray) -> np.ndarray:
     return np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.int64) + np.repeat(firsts[:-1], sizes)
 
 
+def distinct_rows(docs: DataFrame) -> DataFrame:
+    """Each distinct row of ``docs`` once: k1, k2 (hashes of all its columns), text, rest (the other columns), copies."""
+    complex_ = (T.MapType, T.StructType, T.ArrayType)
+    plain = [F.to_json(F.struct(f"`{f.name}`")) if isinstance(f.dataType, complex_) else F.col(f"`{f.name}`") for f in docs.schema]
+    # hashes pass over nulls, so where they are is hashed as well
+    cells = [*plain, *[F.col(f"`{c}`").isNull() for c in docs.columns]]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    keyed = docs.select(
+        *[F.xxhash64(F.lit(i), *cells).alias(f"k{i}") for i in (1, 2)], "text", F.struct(F.lit(0).alias("__none"), *rest).alias("rest")
+    )
+    return keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("rest").alias("rest"), F.count(F.lit(1)).alias("copies"))
+
+
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` (doc_id, text and any columns) with ``places``: the first words of each row's windows of ``window``
-    words whose sequence also starts elsewhere. Repeated rows repeat each other."""
+    """Distinct rows as of ``distinct_rows`` with ``places``: the first words of the row's windows of ``window`` words
+    whose sequence also starts elsewhere. Rows with more than one copy repeat all of theirs, and have null for places;
+    those of very many copies come in several rows, dealt to different tasks."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-int(size * 0.6) // BUCKET_BYTES))
-    keyed = docs.drop("places").withColumns(dict(zip(("k1", "k2"), row_keys())))
+    rows = distinct_rows(docs)
+
+    def copied(piece):
+        return piece.column("copies").to_numpy() > 1
 
     def symbol_rows(batches):
         asker = Asker(buckets)
@@ -309,7 +354,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             words = Words(piece.column("text"))
             symbols, useful = parsed(words, window, words.hashes(0))
             ordinal = np.arange(len(symbols.name)) - np.searchsorted(symbols.doc, symbols.doc)
-            asker.add(_keys(piece), symbols.doc[useful], symbols.name[useful], None, ordinal[useful])
+            asker.add(_keys(piece), copied(piece), symbols.doc[useful], symbols.name[useful], None, ordinal[useful])
             if asker.size >= BATCH_NAMES:
                 yield from asker.rows()
         yield from asker.rows()
@@ -320,32 +365,38 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             words = Words(piece.column("text"))
             names = words.hashes(0)
             symbols, useful = parsed(words, window, names)
-            shared = np.zeros(len(symbols.name), bool)
+            several = copied(piece)
+            shared = several[symbols.doc]
             shared[_places(piece, np.searchsorted(symbols.doc, np.arange(piece.num_rows + 1)))] = True
             at = candidate_windows(words, symbols, useful[~shared[useful]], window)
             if len(at):
-                name = _stretch_hashes(names, at, at + window, 0xD1342543DE82EF95)
-                check = (_stretch_hashes(words.hashes(1), at, at + window, 0xAF251AF3B0F025B5) >> np.uint64(32)).astype("<u4")
-                asker.add(_keys(piece), words.doc[at], name, check, at - words.firsts[words.doc[at]])
+                name = window_names(names, at, window)
+                check = (window_names(words.hashes(1), at, window) >> np.uint64(32)).astype("<u4")
+                asker.add(_keys(piece), several, words.doc[at], name, check, at - words.firsts[words.doc[at]])
             if asker.size >= BATCH_NAMES:
                 yield from asker.rows()
         yield from asker.rows()
 
-    shared = shared_places(map_arrow(keyed.select("k1", "k2", "text"), symbol_rows, _ASK), buckets)
-    # both joins take the same columns, so that texts are shuffled once
-    marked = keyed.join(shared, ["k1", "k2"], "left")
-    repeated = shared_places(map_arrow(marked, window_rows, _ASK), buckets)
-    return keyed.join(repeated, ["k1", "k2"], "left").drop("k1", "k2")
+    # all uses take the same columns, so that texts are shuffled once
+    shared = shared_places(map_arrow(rows, symbol_rows, _ASK), buckets)
+    repeated = shared_places(map_arrow(rows.join(shared, ["k1", "k2"], "left"), window_rows, _ASK), buckets)
+    none = F.lit(None).cast("array<int>").alias("places")
+    own = ["k1", "k2", "text", "rest"]
+    alone = rows.where("copies = 1").join(repeated, ["k1", "k2"], "left").select(*own, "copies", "places")
+    few = rows.where(f"copies between 2 and {COPIES_A_ROW}").select(*own, "copies", none)
+    many = rows.where(f"copies > {COPIES_A_ROW}").withColumn("part", F.explode(F.expr(f"sequence(0, (copies - 1) div {COPIES_A_ROW})")))
+    many = many.repartition("k1", "part").select(*own, F.expr(f"least({COPIES_A_ROW}, copies - part * {COPIES_A_ROW})").alias("copies"), none)
+    return alone.unionAll(few).unionAll(many)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (doc_id, text and any columns) with n_words, n_removed and kept: its words without those covered by a
     window that also starts elsewhere, joined by blanks. Columns of these names are replaced. A null text has no words.
 
-    Windows are judged on the input, and every occurrence goes, so what is kept depends on no order.
+    Windows are judged on the input, and every occurrence goes, so what is kept depends on no order. Rows that are equal
+    in all columns come out as often as they came in.
     """
-    docs = docs.drop("n_words", "n_removed", "kept", "k1", "k2", "places")
-    names = docs.columns
+    docs = docs.drop("n_words", "n_removed", "kept")
 
     def run(batches):
         for piece in text_chunks(batches, "text"):
@@ -354,23 +405,27 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = _places(piece, words.firsts)
             np.add.at(cover, at, 1)
             np.add.at(cover, np.minimum(at + window, len(words.doc)), -1)
-            stays = np.cumsum(cover)[:-1] == 0
+            n = np.diff(words.firsts)
+            whole = (piece.column("copies").to_numpy(zero_copy_only=False) > 1) & (n >= window)
+            stays = (np.cumsum(cover)[:-1] == 0) & ~whole[words.doc]
             kept = []
             data = words.data.tobytes()
             for d in range(piece.num_rows):
                 own = np.arange(words.firsts[d], words.firsts[d + 1])
                 own = own[stays[own]]
                 kept.append(b" ".join([data[a:b] for a, b in zip(words.starts[own].tolist(), words.stops[own].tolist())]).decode())
-            n = np.diff(words.firsts)
             gone = n - np.array([int(stays[a:b].sum()) for a, b in zip(words.firsts, words.firsts[1:])], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*(piece.column(x) for x in names), pa.array(n.astype(np.int64)), pa.array(gone), pa.array(kept, pa.string())],
-                [*names, "n_words", "n_removed", "kept"],
+                [*(piece.column(x) for x in ("text", "rest", "copies")), pa.array(n.astype(np.int64)), pa.array(gone), pa.array(kept, pa.string())],
+                ["text", "rest", "copies", "n_words", "n_removed", "kept"],
             )
 
+    rows = removals(docs, window)
     zero = F.lit(0).cast("long")
-    schema = docs.withColumns({"n_words": zero, "n_removed": zero, "kept": F.lit("")}).schema
-    return map_arrow(removals(docs, window), run, schema)
+    schema = rows.select("text", "rest", "copies", zero.alias("n_words"), zero.alias("n_removed"), F.lit("").alias("kept")).schema
+    found = map_arrow(rows, run, schema).withColumn("__copy", F.explode(F.expr("array_repeat(0, int(copies))")))
+    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    return found.select(*columns, "n_words", "n_removed", "kept")
 
 
 def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kgloom.llm import substring
 
@@ -87,3 +88,48 @@ def test_query_digest(spark, edge_docs, tmp_path):
     rows = edge_docs.collect()
     want = Counter((r.doc_id, n, g, hashlib.sha256(k.encode()).hexdigest()) for r, (n, g, k) in zip(rows, brute([r.text for r in rows], 35)))
     assert got == want
+
+
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_made_to_collide(spark, size):
+    """Words that differ in every letter, for which sums of powers of an odd number vanish modulo powers of two."""
+    tail = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{thue_morse(size, 'a', 'b')} {tail}", f"{thue_morse(size, 'b', 'a')} {tail}"]
+    texts += [thue_morse(64, "p ", "q "), thue_morse(64, "q ", "p ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.without_repeats(docs).collect()}
+    assert [got[i] for i in range(4)] == brute(texts, 35)
+    assert got[0][1] == got[1][1] == 0
+
+
+def test_many_equal_rows(spark, monkeypatch):
+    """A third of all rows are equal; they cost as much as their number, and come out as often."""
+    monkeypatch.setattr(substring, "COPIES_A_ROW", 7)
+    passage = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, passage + " and more")] * 500 + [(2, "short text")] * 500
+    rows += [(10 + i, f"a{i} {passage} b{i}" if i % 10 == 0 else " ".join(f"x{i}y{j}" for j in range(40))) for i in range(500)]
+    rows += [(3, passage), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tags", F.array(F.lit("t"), F.lit(None)))
+    found = substring.without_repeats(docs.repartition(6))
+    assert found.columns == ["doc_id", "text", "tags", "n_words", "n_removed", "kept"]
+    want = Counter(zip([r[0] for r in rows], brute([r[1] for r in rows], 35)))
+    assert Counter((r.doc_id, (r.n_words, r.n_removed, r.kept)) for r in found.collect()) == want
+
+
+def test_rows_apart_in_where_their_nulls_are(spark):
+    rows = [(1, "a b", "x", None), (1, "a b", None, "x"), (1, "a b", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert substring.distinct_rows(docs).count() == 3
+
+
+def test_windows_are_named_by_their_words():
+    names = substring.Words(pa.array([" ".join(random.Random(1).choices("abc", k=3000))])).hashes(0)
+    for window in (1, 2, 5, 32, 35):
+        at = np.arange(len(names) - window + 1)
+        found = substring.window_names(names.copy(), at, window).tolist()
+        sequences = [tuple(names[i : i + window].tolist()) for i in at]
+        assert len(set(zip(found, sequences))) == len(set(found)) == len(set(sequences))
