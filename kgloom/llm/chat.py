@@ -117,11 +117,13 @@ def format_conversations(rows: DataFrame, path: str) -> DataFrame:
 
 def read_back(formatted: DataFrame, path: str) -> DataFrame:
     """One row a conversation, from the formatted tokens and the mask: conv_id, n_turns, turns_sha256, loss_chars,
-    loss_sha256, formatted_chars. Digests run along a conversation's turns, so no conversation is held whole."""
+    loss_sha256, formatted_chars. Digests run along a conversation's turns, so no conversation is held whole. Rows without
+    a conversation id are one conversation."""
 
     def run(batches):
         template = Template(vocabulary(path))
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         current, state = None, None
 
         def row():
@@ -145,9 +147,9 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
                 state[3].update(learnt.encode())
                 state[4] += len(template.text(ids))
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
         if state is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([v]) if v is not None else pa.nulls(1, pa.int64()) for v in row()], names)
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row(), kinds)], names)
 
     rows = formatted.sortWithinPartitions("conv_id", "place")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

@@ -65,6 +65,17 @@ def test_conversations(spark):
     assert chat.read_back(chat.format_conversations(rows.limit(0), PATH), PATH).count() == 0
 
 
+def test_a_conversation_without_id_beside_another(spark):
+    """The batch that ends with the null conversation alone has a column of nulls only."""
+    rows = spark.createDataFrame([(None, 0, "user", "a"), (1, 0, "user", "b")], "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = chat.read_back(chat.format_conversations(rows.coalesce(1), PATH).coalesce(1), PATH).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.conv_id is not None, r.n_turns) for r in got) == [(False, 1), (True, 1)]
+
+
 PAGES = [
     (5, "http://a/ü x", "<p>same</p>"), (3, None, "<p>same</p>"), (9, "http://b\r\nX: y", "<p>same</p>"), (3, None, "<p>same</p>"),
     (1, "http://c", None), (2, "http://d", ""), (None, "http://e", "lonely"), (None, "http://f", "<p>same</p>"),
