@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import named
+from .paths import belongs, file_name, file_path, literal
+from .records import header_record, read_records
 
 # A separator no file holds: the line stays one cell.
 _WHOLE_LINE = "\u0001\u0002\u0001"
@@ -55,6 +57,7 @@ def read_delimited(
     ragged: str = "truncate",
     multi_line: bool = False,
     headers: str = "equal",
+    ordinal: str | None = None,
 ) -> DataFrame:
     """Scan delimited files with a header; every column a string unless ``infer``.
 
@@ -62,28 +65,36 @@ def read_delimited(
     whole numbers, numbers, booleans, or else text, so that no cell is lost.
     ``ragged="truncate"`` cuts extra fields and pads short rows with nulls;
     ``ragged="error"`` fails on extra fields. Empty cells, quoted or not, are
-    null. Line breaks inside quotes need ``multi_line``, which makes a file
-    unsplittable.
+    null. Line breaks inside quotes need ``multi_line``: a pass over all lines
+    tells which of them are inside quotes, and files are split all the same.
 
     Files must share one header, or the scan fails; with ``headers="by_name"``
     they are grouped by their own headers and their columns matched by name.
+
+    ``ordinal`` names a column for the source order of a ``multi_line`` scan
+    (for others take ``with_ordinal``).
     """
+    if ordinal and not multi_line:
+        raise ValueError("ordinal is for multi_line scans, take with_ordinal for others")
     if ragged not in ("truncate", "error"):
         raise ValueError(f"ragged must be 'truncate' or 'error', not {ragged!r}")
     if headers not in ("equal", "by_name"):
         raise ValueError(f"headers must be 'equal' or 'by_name', not {headers!r}")
     if headers == "by_name":
         parts = [
-            read_delimited(spark, files, sep, False, ragged, multi_line)
+            read_delimited(spark, files, sep, False, ragged, multi_line, ordinal=ordinal)
             for files in files_by_header(spark, path).values()
         ]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        return _typed(rows) if infer else rows
+        return _typed(rows, ordinal) if infer else rows
     paths = _paths(path)
-    schema = _inferred_schema(spark, paths, sep, multi_line) if infer else None
+    if multi_line:
+        rows = _scan_records(spark, paths, sep, ragged, ordinal)
+        return _typed(rows, ordinal) if infer else rows
+    schema = _inferred_schema(spark, paths, sep) if infer else None
     if ragged == "error":
-        return _scan_strict_width(spark, paths, sep, schema, multi_line)
-    reader = _reader(spark, sep, multiLine=multi_line, **_QUOTED)
+        return _scan_strict_width(spark, paths, sep, schema)
+    reader = _reader(spark, sep, **_QUOTED)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(paths)
@@ -92,7 +103,7 @@ def read_delimited(
 def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """Files by their first line, in the order of their names: one distributed scan, one row a file for the driver."""
     lines = spark.read.text(_paths(path)).select(
-        F.col("_metadata.file_path").alias("file"),
+        file_path().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         "value",
@@ -100,7 +111,7 @@ def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, lis
     first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
     found: dict[str, list[str]] = {}
     for r in first.orderBy("file").collect():
-        found.setdefault(r.header, []).append(r.file)
+        found.setdefault(r.header, []).append(literal(r.file))
     if not found:
         raise ValueError(f"no header in {path}")
     return found
@@ -114,44 +125,85 @@ def _plain(kind: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _inferred_schema(spark: SparkSession, paths: list[str], sep: str, multi_line: bool) -> T.StructType:
+def _inferred_schema(spark: SparkSession, paths: list[str], sep: str) -> T.StructType:
     """Types that every row of every file fits."""
-    inferred = _reader(spark, sep, inferSchema=True, multiLine=multi_line, **_QUOTED).csv(paths).schema
+    inferred = _reader(spark, sep, inferSchema=True, **_QUOTED).csv(paths).schema
     return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in inferred])
 
 
-def _typed(rows: DataFrame) -> DataFrame:
-    """Text columns as the narrowest type that all their cells fit."""
+def _typed(rows: DataFrame, beside: str | None = None) -> DataFrame:
+    """Text columns as the narrowest type that all their cells fit; the column ``beside`` stays."""
 
     def fits(name: str, kind: str) -> Column:
         return F.coalesce(F.bool_and(named(name).isNull() | named(name).try_cast(kind).isNotNull()), F.lit(True))
 
     kinds = ("long", "double", "boolean")
-    checks = [fits(c, k).alias(f"{i}.{k}") for i, c in enumerate(rows.columns) for k in kinds]
-    filled = [F.count(named(c)).alias(f"{i}.n") for i, c in enumerate(rows.columns)]
+    texts = [c for c in rows.columns if c != beside]
+    checks = [fits(c, k).alias(f"{i}.{k}") for i, c in enumerate(texts) for k in kinds]
+    filled = [F.count(named(c)).alias(f"{i}.n") for i, c in enumerate(texts)]
     found = rows.agg(*checks, *filled).first()
-    cells = []
-    for i, c in enumerate(rows.columns):
+    cells = [named(beside)] if beside else []
+    for i, c in enumerate(texts):
         kind = next((k for k in kinds if found[f"{i}.{k}"] and found[f"{i}.n"]), "string")
         cells.append(named(c).cast(kind).alias(c))
     return rows.select(*cells)
 
 
-def _scan_strict_width(
-    spark: SparkSession, paths: list[str], sep: str, schema: T.StructType | None, multi_line: bool
-) -> DataFrame:
+def _too_wide(text: Column, sep: str, width: int) -> Column:
+    """Whether the text of a row of another width has more fields than ``width``; null has not."""
+    unquoted = "\\Q" + sep + '\\E(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    return text.isNotNull() & (F.size(F.split(text, unquoted, -1)) > width)
+
+
+def _too_wide_error() -> Column:
+    return F.raise_error(F.lit("found more fields than the header defines")).cast("boolean")
+
+
+def _column_names(header: list[str | None], by_case: bool) -> list[str]:
+    """Names of columns as other scans give them: empty ones by place, repeated ones with their place."""
+    known = [h if by_case or h is None else h.lower() for h in header]
+    return [f"_c{i}" if not h else f"{h}{i}" if known.count(k) > 1 else h for i, (h, k) in enumerate(zip(header, known))]
+
+
+def _scan_records(spark: SparkSession, paths: list[str], sep: str, ragged: str, ordinal: str | None) -> DataFrame:
+    """Files whose cells may hold line breaks: records are cut first, then parsed one by one."""
+    options = {"sep": sep, "mode": "PERMISSIVE", "multiLine": "true", **_QUOTED}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    top = header_record(spark, paths, sep)
+    if top is None:
+        raise ValueError(f"no header in {paths}")
+    one = spark.createDataFrame([(top,)], "record string")
+    width = len(T._parse_datatype_string(one.select(F.schema_of_csv(F.lit(top), options)).first()[0]).fields)
+    # one more cell tells a header that goes on
+    cells = [f"c{i}" for i in range(width + 1)]
+    schema = ", ".join(f"{c} string" for c in cells)
+    header = list(one.select(F.from_csv("record", schema, options)).first()[0])
+    names = _column_names(header[:-1], spark.conf.get("spark.sql.caseSensitive") == "true")
+    records = read_records(spark, paths, sep)
+    # headers alone are parsed here, one a file
+    top_cells = F.from_csv("record", schema, options)
+    same = reduce(lambda a, b: a & b, [top_cells[c].eqNullSafe(F.lit(h)) for c, h in zip(cells, header)])
+    other = F.raise_error(F.concat(F.lit("another header than the first file's in "), F.col("file"))).cast("boolean")
+    keeps = F.when(F.col("first"), F.when(same, F.lit(False)).otherwise(other))
+    if ragged == "error":
+        wide = (F.size(F.split("record", "\\Q" + sep + "\\E", -1)) > width) & _too_wide(F.col("record"), sep, width)
+        keeps = keeps.when(F.col("whole") & wide, _too_wide_error())
+    order = [F.struct("file", "block", "row").alias("at")] if ordinal else []
+    parsed = records.where(keeps.otherwise(F.lit(True))).select(*order, F.from_csv("record", schema, options).alias("cells"))
+    own = [F.col("at").alias(ordinal)] if ordinal else []
+    return parsed.select(*own, *[F.col(f"cells.{c}").alias(n) for c, n in zip(cells, names)])
+
+
+def _scan_strict_width(spark: SparkSession, paths: list[str], sep: str, schema: T.StructType | None) -> DataFrame:
     names = _reader(spark, sep, **_QUOTED).csv(paths).columns
     flagged = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     # columnPruning off: the width of a row is judged whatever columns are read
-    options = {"columnNameOfCorruptRecord": _CORRUPT, "columnPruning": False, "multiLine": multi_line}
+    options = {"columnNameOfCorruptRecord": _CORRUPT, "columnPruning": False}
     rows = _reader(spark, sep, **_QUOTED, **options).schema(flagged).csv(paths)
-    # a row of another width keeps its text; only then are its fields counted
-    unquoted = "\\Q" + sep + '\\E(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    too_wide = F.size(F.split(named(_CORRUPT), unquoted, -1)) > len(names)
-    failure = F.raise_error(F.lit("found more fields than the header defines")).cast("boolean")
     # the first column takes part because a scan may not ask for the row text alone
     read = F.length(F.coalesce(named(names[0]), F.lit(""))) >= 0
-    rows = rows.where(F.when(named(_CORRUPT).isNotNull() & too_wide & read, failure).otherwise(read))
+    # a row of another width keeps its text; only then are its fields counted
+    rows = rows.where(F.when(_too_wide(named(_CORRUPT), sep, len(names)) & read, _too_wide_error()).otherwise(read))
     cells = []
     for i, name in enumerate(names):
         cell = named(name)
@@ -199,7 +251,7 @@ def _read_raw(spark: SparkSession, path: str | list[str], leading: list[str], fi
     for files in files_by_header(spark, path).values():
         rows = read_lines_tsv(spark, files)
         if file:
-            name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+            name = F.regexp_replace(file_name(), r"\.[^.]*$", "")
             names, lines = read_line_fields(spark, files, extra={file: name})
             rows = lines.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)], file)
         parts.append(_leading(rows, leading))
@@ -263,7 +315,7 @@ def read_many(
     for alike in files_by_header(spark, paths).values():
         rows = read_delimited(spark, alike, sep)
         if tag:
-            rows = rows.withColumn(tag, F.col("_metadata.file_name"))
+            rows = rows.withColumn(tag, file_name())
         result = rows if result is None else result.unionByName(rows, allowMissingColumns=True)
     return result
 
@@ -275,13 +327,13 @@ def with_ordinal(df: DataFrame, name: str = "_ordinal", files: list[str] | None
     Files come in the order of ``files`` (names as given to the scan), or else
     by path.
     """
-    path = F.col("_metadata.file_path")
+    path = file_path()
     place = F.lit(0)
     if files:
         # a file belongs to the longest of the given paths that leads to it
         known = sorted(enumerate(files), key=lambda x: -len(x[1]))
         for i, given in known[::-1]:
-            place = F.when(F.contains(path, F.lit(given.split("://")[-1].split(":", 1)[-1].rstrip("/"))), i).otherwise(place)
+            place = F.when(belongs(path, given), i).otherwise(place)
     order = F.struct(
         place.alias("place"),
         path.alias("file"),

@@ -103,6 +103,97 @@ def test_multi_line(spark, tmp_path):
     assert [tuple(r) for r in sources.read_delimited(spark, path, multi_line=True).collect()] == [("x\ny", "1")]
 
 
+ODD_CELLS = ["", "x", '"', '""', "a\nb", "\n", "\n\n\n", "l\r\nm", "t\tu", ' "q" ', "end\\", "a,b", 'say "\n" twice', "0", "ünï\n😀"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("sep", ["\t", ","])
+def test_records_over_many_blocks(spark, tmp_path, seed, sep):
+    """Blocks of a few bytes, so that cells, quotes and records are cut anywhere; several files in one scan."""
+    import csv
+    import random
+
+    draw = random.Random(seed)
+    want, folder = [], tmp_path / "with blanks"
+    folder.mkdir()
+    for n in range(3):
+        rows = [[draw.choice(ODD_CELLS) if draw.random() < 0.6 else "plain" for _ in range(3)] for _ in range(60)]
+        rows = [r if any(r) else ["x", *r[1:]] for r in rows]
+        with open(folder / f"{n} [x].tsv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, delimiter=sep, lineterminator=draw.choice(["\n", "\r\n"]), quoting=draw.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+            out.writerow(["one", "two\nlines", 'th"ree'])
+            for r in rows:
+                out.writerow(r)
+                if draw.random() < 0.1:
+                    f.write("\n")
+        want += [tuple(c or None for c in r) for r in rows]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(draw.choice([7, 40, 300])))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = sources.read_delimited(spark, str(folder), sep=sep, multi_line=True, ordinal="at")
+        assert found.columns == ["at", "one", "two\nlines", 'th"ree']
+        got = [tuple(r)[1:] for r in found.orderBy("at").collect()]
+        many = spark.read.text(str(folder)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == want and many > 5
+
+
+def test_a_record_over_blocks_and_stray_quotes(spark, tmp_path):
+    """One cell longer than many blocks; quotes inside plain cells open nothing."""
+    cell = "\n".join(f"line {i}" for i in range(3000))
+    path = write(tmp_path, f'a\tb\n5" pipe\tx\n"{cell}"\t1\n6"\t"7"" x"\n"c"d\te\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = {tuple(r) for r in sources.read_delimited(spark, path, multi_line=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {('5" pipe', "x"), (cell, "1"), ('6"', '7" x'), ('"c"d', "e")}
+
+
+def test_multi_line_headers_types_and_widths(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder, 'n\tt\n1\t"x\ny"\n2\n', "1.tsv")
+    other = write(folder, 'n\tt\n3\t\t4\n', "2.tsv")
+    found = sources.read_delimited(spark, str(folder), multi_line=True, infer=True)
+    assert dict(found.dtypes) == {"n": "bigint", "t": "string"}
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "x\ny"), (2, None), (3, None)]
+    with pytest.raises(Exception, match="more fields"):
+        sources.read_delimited(spark, other, multi_line=True, ragged="error").collect()
+    write(folder, "t\tn\n1\t2\n", "3.tsv")
+    with pytest.raises(Exception, match="header"):
+        sources.read_delimited(spark, str(folder), multi_line=True).collect()
+    named = sources.read_delimited(spark, str(folder), multi_line=True, headers="by_name")
+    assert sorted(((r.n, r.t) for r in named.collect()), key=str) == [("1", "x\ny"), ("2", "1"), ("2", None), ("3", None)]
+
+
+@pytest.mark.parametrize("name", ["a b.tsv", "50%20x.tsv", "x+y.tsv", "ü é.tsv", "q[1]{2}.tsv", "#1&2.tsv"])
+def test_file_names_are_taken_as_they_are(spark, tmp_path, name):
+    folder = tmp_path / "my files"
+    folder.mkdir()
+    path = write(folder, "id\tcat\tident\tname\n1\tA\tX:1\tn\n", name)
+    plain = write(folder, "id\tcat\tident\tother\n2\tB\tY:1\to\n", "plain.tsv")
+    for given in (str(folder), [sources.paths.literal(path), plain]):
+        found = sources.read_delimited(spark, given, headers="by_name").orderBy("id")
+        assert [(r.id, r.name, r.other) for r in found.collect()] == [("1", "n", None), ("2", None, "o")]
+        assert [r.file for r in sources.read_raw_nodes(spark, given, file="file").orderBy("id").collect()] == [name.removesuffix(".tsv"), "plain"]
+    tagged = sources.read_many(spark, [sources.paths.literal(path), plain]).orderBy("id")
+    assert [r["_file"] for r in tagged.collect()] == [name, "plain.tsv"]
+    edges = sources.read_raw_edges(spark, str(folder))
+    assert sorted(r.subject for r in edges.collect()) == ["1", "2"]
+
+
+def test_places_of_files_whose_names_end_alike(spark, tmp_path):
+    paths = [write(tmp_path, f"a\n{x}\n", f"{x}.tsv") for x in ("a", "z a", "b")]
+    for given in (paths, ["a.tsv", "z a.tsv", "b.tsv"]):
+        rows = sources.with_ordinal(sources.read_delimited(spark, paths), files=given)
+        assert [r.a for r in rows.orderBy("_ordinal").collect()] == ["a", "z a", "b"]
+
+
 def test_raw_scans(spark, tmp_path):
     nodes = write(tmp_path, 'id\tcat\tident\tname\n1\tA\tX:1\t"quoted\n2\tA\n3\n4\tA\t\tz\n', "n.tsv")
     found = sources.read_raw_nodes(spark, nodes)
