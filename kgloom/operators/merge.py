@@ -13,6 +13,9 @@ from ..functions.text import named
 
 Layout = dict[str, list[tuple[int, str]]]
 
+#: keys that a summary of frequent keys tracks for each shuffle partition, and at most
+SHARE_DETAIL, MOST_TRACKED = 16, 1 << 19
+
 
 def merged_layout(
     columns: list[list[str]], keys: list[str], coalesce: Iterable[str], leading: list[str] | None
@@ -53,28 +56,23 @@ def merge_tables(
     ``leading`` is the column order of the (empty) first table of the fold; it
     defaults to the keys. Null keys match nothing and keep their rows apart.
 
-    With ``unique_keys`` every key occurs at most once per table (checked at run
-    time): one shuffle and one aggregation. Otherwise duplicates multiply as in
-    a join: the distinct keys are the spine, and every table is left joined to
-    it, so each table is shuffled once and no intermediate result is reshuffled.
-    The keys of ``hot`` are spread over several join partitions; by default
-    these are the ``hot_keys`` of the tables. Who merges many tables passes them
-    written (``session.materialized``), which keeps the plan short.
+    All rows go through one exchange by key. With ``unique_keys`` every key
+    occurs at most once per table (checked at run time) and one aggregation does.
+    Otherwise duplicates multiply as in a join: the rows of a key come together
+    as one run a table, and the product of the runs is put out as it is made.
+    The keys of ``hot`` (``hot_keys`` of the tables, by default) are divided: one
+    table's rows of such a key are parted, the other tables' are repeated.
     """
     if not dfs:
         raise ValueError("nothing to merge")
     dfs = _with_shared_key_types(dfs, keys)
     layout = merged_layout([df.columns for df in dfs], keys, coalesce, leading)
     types = {name: _common_type(dfs, cells) for name, cells in layout.items()}
-    present = [df.where(_all_present(keys)) for df in dfs]
     if unique_keys:
-        merged = _merge_unique(present, keys, layout, types)
+        merged = _merge_unique([df.where(_all_present(keys)) for df in dfs], keys, layout, types)
     else:
-        if hot is None:
-            hot = hot_keys(dfs, keys, split_rows)
-        if split_rows is None:  # bounded by partitions x tables
-            hot = F.broadcast(hot)
-        merged = _merge_joined(present, keys, layout, types, hot)
+        hot = hot_keys(dfs, keys, split_rows) if hot is None else hot
+        return _merge_runs(dfs, keys, layout, types, hot)
     for i, df in enumerate(dfs):
         if any(df.schema[k].nullable for k in keys):
             merged = merged.unionByName(_slots(df.where(~_all_present(keys)), i, keys, layout, types))
@@ -103,19 +101,26 @@ def _common_type(dfs: list[DataFrame], cells: list[tuple[int, str]]) -> T.DataTy
     return T.StringType()
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _slots(
-    df: DataFrame, i: int, keys: list[str], layout: Layout, types: dict[str, T.DataType]
+    df: DataFrame, i: int, keys: list[str], layout: Layout, types: dict[str, T.DataType], beside: Iterable[str] = ()
 ) -> DataFrame:
-    """Rows of table ``i`` alone, in the output layout."""
+    """Rows of table ``i`` alone, in the output layout, and the columns ``beside``.
+
+    The many cells are written as text, which the driver's Python hands over at once.
+    """
     out = []
     for name, cells in layout.items():
         own = name if name in keys else next((c for j, c in cells if j == i), None)
         if name in keys:
-            out.append(named(name))
+            out.append(_quoted(name))
         else:
-            cell = F.lit(None) if own is None else named(own)
-            out.append(cell.cast(types[name]).alias(name))
-    return df.select(*out)
+            cell = "NULL" if own is None else _quoted(own)
+            out.append(f"CAST({cell} AS {types[name].simpleString()}) AS {_quoted(name)}")
+    return df.selectExpr(*out, *map(_quoted, beside))
 
 
 def _merge_unique(
@@ -149,87 +154,82 @@ def _merge_unique(
     return merged.select(*[named(n) for n in layout])
 
 
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[named(k) for k in keys])
+
+
 def hot_keys(dfs: list[DataFrame], keys: list[str], split_rows: int | None = None) -> DataFrame:
-    """Keys whose rows one join partition should not take alone: keys, __parts, __divided.
+    """Keys whose rows one partition should not take alone, by hash: __hash, __parts, __divided.
 
     A key is hot when it holds more of a table's rows than an even share, the
-    table's rows by the session's shuffle partitions; it is divided into so many
-    parts. Of one table there are fewer such keys than partitions, so the list is
-    bounded by (partitions x tables) whatever the data. ``split_rows`` sets the
-    share as a number of rows instead, for whoever knows better.
-    ``__divided`` is the table whose rows are parted; the others repeat theirs.
+    table's rows by the session's shuffle partitions; ``split_rows`` sets the
+    share as a number of rows instead. ``__divided`` is the table whose rows are
+    parted, into so many parts; the others repeat theirs.
+
+    The counts come from summaries of the most frequent keys, which are merged
+    over all tasks: one pass over the keys, which are not shuffled, and one row a
+    table. Of one table there are fewer hot keys than partitions (or, with
+    ``split_rows``, as many as the summary keeps). Counts may be off by a part of
+    a share, and keys of equal hash are divided alike: this moves rows, and no
+    result.
     """
+    spark = dfs[0].sparkSession
     dfs = [df.where(_all_present(keys)) for df in _with_shared_key_types(dfs, keys)]
-    sizes = _key_sizes(dfs, keys)
-    counts = [F.col(f"__n{i}") for i in range(len(dfs))]
-    if split_rows is not None:
-        shares = [F.lit(split_rows)] * len(dfs)
-    else:
-        partitions = int(dfs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        even = [F.greatest(F.ceil(F.sum(c) / partitions), F.lit(1)) for c in counts]
-        totals = sizes.agg(F.array(*even)).scalar()
-        sizes = sizes.withColumn("__shares", totals)
-        shares = [F.get("__shares", F.lit(i)) for i in range(len(dfs))]
-    parts = F.array(*[F.ceil(c / s).cast("int") for c, s in zip(counts, shares)])
-    found = sizes.select(*[named(k) for k in keys], parts.alias("__all")).withColumn("__parts", F.array_max("__all"))
-    divided = (F.array_position("__all", F.col("__parts")) - 1).cast("int")
-    return found.where("__parts > 1").select(*[named(k) for k in keys], "__parts", divided.alias("__divided"))
-
-
-def _key_sizes(dfs: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Distinct keys with their rows in each table (``__n0``, ``__n1``, ...)."""
-    key_columns = [named(k) for k in keys]
-    tagged = [df.select(*key_columns, F.lit(i).alias("__table")) for i, df in enumerate(dfs)]
-    per_table = [F.count_if(F.col("__table") == i).alias(f"__n{i}") for i in range(len(dfs))]
-    sizes = reduce(DataFrame.unionAll, tagged).groupBy(*key_columns).agg(*per_table)
-    # always true, but it keeps the counters where only the keys are wanted, so that both uses share one shuffle
-    return sizes.where(F.array_max(F.array(*[F.col(f"__n{i}") for i in range(len(dfs))])) > 0)
-
-
-def _merge_joined(
-    dfs: list[DataFrame],
-    keys: list[str],
-    layout: Layout,
-    types: dict[str, T.DataType],
-    split: DataFrame,
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the error of a summary is a small part of the rows by what it tracks
+    tracked = min(MOST_TRACKED, 1 << max(10, (SHARE_DETAIL * partitions).bit_length()))
+    hashes = [df.select(F.lit(i).alias("__table"), _key_hash(keys).alias("__hash")) for i, df in enumerate(dfs)]
+    top = F.expr(f"approx_top_k(__hash, {tracked // 2}, {tracked})").alias("top")
+    found: dict[int, tuple[int, int]] = {}
+    for row in reduce(DataFrame.unionAll, hashes).groupBy("__table").agg(F.count(F.lit(1)).alias("n"), top).collect():
+        share = split_rows or max(1, -(-row["n"] // partitions))
+        for item in row["top"]:
+            parts = -(-item["count"] // share)
+            if parts > 1 and (-parts, row["__table"]) < found.get(item["item"], (0, 0)):
+                found[item["item"]] = (-parts, row["__table"])
+    listed = [(h, -parts, table) for h, (parts, table) in found.items()]
+    return spark.createDataFrame(listed, "__hash long, __parts int, __divided int")
+
+
+def _merge_runs(
+    dfs: list[DataFrame], keys: list[str], layout: Layout, types: dict[str, T.DataType], hot: DataFrame
 ) -> DataFrame:
     key_columns = [named(k) for k in keys]
-    def all_parts() -> Column:
-        return F.sequence(F.lit(0), F.col("__parts") - 1)
-
-    unsplit = F.array(F.lit(0))
-    spine = _key_sizes(dfs, keys).select(*key_columns).join(split, keys, "left")
-    merged = spine.select(
-        *key_columns,
-        F.col("__divided").alias("__by"),
-        F.explode(F.when(F.col("__parts").isNull(), unsplit).otherwise(all_parts())).alias("__part"),
-    )
+    fed = [[n for n, cells in layout.items() if n not in keys and any(j == i for j, _ in cells)] for i in range(len(dfs))]
+    tagged = []
     for i, df in enumerate(dfs):
-        payload = [named(c).alias(f"__{i}.{c}") for c in df.columns if c not in keys]
-        # content plus source partition: a rerun of the task gives the same part,
-        # and copies of one row still spread
-        content = F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.col("__parts"))
-        own_part = F.pmod(content + F.col("__origin"), F.col("__parts")).cast("int")
-        parts = (
-            F.when(F.col("__parts").isNull(), unsplit)
-            .when(F.col("__divided") == i, F.array(own_part))
-            .otherwise(all_parts())
-        )
-        rows = df.withColumn("__origin", F.spark_partition_id()).join(split, keys, "left")
-        rows = rows.select(
-            *key_columns, *payload, F.lit(True).alias(f"__in{i}"), F.explode(parts).alias("__part")
-        )
-        merged = merged.join(rows, [*keys, "__part"], "left")
+        # content plus source partition: a rerun of the task gives the same part, and copies of one row still spread
+        content = F.xxhash64(*[named(c) for c in df.columns])
+        source = df.withColumns({"__content": content, "__origin": F.spark_partition_id()})
+        slots = _slots(source, i, keys, layout, types, ["__content", "__origin"])
+        tagged.append(slots.withColumn("__table", F.lit(i)))
+    rows = reduce(DataFrame.unionAll, tagged).withColumn("__hash", _key_hash(keys))
+    # fewer hot keys than partitions x tables
+    rows = rows.join(F.broadcast(hot), "__hash", "left")
+    own_part = F.pmod(F.pmod(F.col("__content"), F.col("__parts")) + F.col("__origin"), F.col("__parts")).cast("int")
+    # rows without a whole key meet no other row: they go to parts of their own, a table's apart from the others'
+    spread = 4 * int(dfs[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    alone = F.pmod(F.pmod(F.col("__content"), F.lit(spread)) + F.col("__origin"), F.lit(spread))
+    alone = (-1 - F.col("__table") * spread - alone).cast("int")
+    parts = (
+        F.when(~_all_present(keys), F.array(alone))
+        .when(F.col("__parts").isNull(), F.array(F.lit(0)))
+        .when(F.col("__divided") == F.col("__table"), F.array(own_part))
+        .otherwise(F.sequence(F.lit(0), F.col("__parts") - 1))
+    )
+    rows = rows.withColumn("__part", F.explode(parts)).repartition(*key_columns, "__part")
+    runs = []
+    for i in range(len(dfs)):
+        row = ", ".join(["true AS __in", *map(_quoted, fed[i])])
+        runs.append(F.expr(f"collect_list(CASE WHEN __table = {i} THEN struct({row}) END)").alias(f"__run{i}"))
+    merged = rows.groupBy(*key_columns, "__part").agg(F.first("__divided").alias("__divided"), *runs)
     # a part that got none of the divided table's rows is no row of the result
-    inside = F.get(F.array(*[F.col(f"__in{i}") for i in range(len(dfs))]), F.col("__by"))
-    merged = merged.where(F.col("__by").isNull() | F.coalesce(inside, F.lit(False)))
+    sizes = ", ".join(f"size(__run{i})" for i in range(len(dfs)))
+    merged = merged.where(f"coalesce(get(array({sizes}), __divided) > 0, true)")
+    # the product of the runs; one statement, as each step on a wide table takes the planner as long as the first
+    views = " ".join(f"LATERAL VIEW OUTER explode(__run{i}) AS __row{i}" for i in range(len(dfs)))
     out = []
     for name, cells in layout.items():
-        if name in keys:
-            out.append(named(name))
-        elif not cells:
-            out.append(F.lit(None).cast(types[name]).alias(name))
-        else:
-            values = [named(f"__{i}.{c}").cast(types[name]) for i, c in cells]
-            out.append(F.coalesce(*values).alias(name))
-    return merged.select(*out)
+        fed_by = [f"__row{i}.{_quoted(name)}" for i, _ in cells] or [f"CAST(NULL AS {types[name].simpleString()})"]
+        out.append(_quoted(name) if name in keys else f"coalesce({', '.join(fed_by)}) AS {_quoted(name)}")
+    return merged.sparkSession.sql(f"SELECT {', '.join(out)} FROM {{merged}} {views}", merged=merged)

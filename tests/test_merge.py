@@ -132,19 +132,58 @@ def test_hot_keys_are_bounded_by_shares(spark):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     a = spark.range(1000).selectExpr("CASE WHEN id < 700 THEN 1 ELSE id END k", "id v")
     b = spark.range(100).selectExpr("id k", "id w")
-    found = {r.k: (r["__parts"], r["__divided"]) for r in hot_keys([a, b], ["k"]).collect()}
-    assert found == {1: (-(-700 // -(-1000 // partitions)), 0)}
-    assert {r.k for r in hot_keys([a, b], ["k"], split_rows=100).collect()} == {1}
-
-
-def test_many_tables_plan_quickly(spark):
+    hashed = spark.range(1, 2).select(F.xxhash64(F.col("id"))).first()[0]
+    found = {r["__hash"]: (r["__parts"], r["__divided"]) for r in hot_keys([a, b], ["k"]).collect()}
+    assert found == {hashed: (-(-700 // -(-1000 // partitions)), 0)}
+    assert {r["__hash"] for r in hot_keys([a, b], ["k"], split_rows=100).collect()} == {hashed}
+    assert hot_keys([a.where("false"), b.where("false")], ["k"]).count() == 0
+
+
+def test_hot_keys_are_found_among_many(spark):
+    """More keys than a summary tracks."""
+    many = spark.range(300_000, numPartitions=6).selectExpr("CASE WHEN id % 3 = 0 THEN -5 WHEN id % 5 = 0 THEN -7 ELSE id END k", "id v")
+    found = {r["__hash"]: r["__parts"] for r in hot_keys([many], ["k"]).collect()}
+    hashed = spark.createDataFrame([(-5,)], "k long").select(F.xxhash64("k")).first()[0]
+    assert found[hashed] >= 2
+
+
+def test_a_hot_key_in_several_tables(spark):
+    """A third of one table, and several rows of two others; one table has none."""
+    a = spark.range(3000, numPartitions=5).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END k", "id a")
+    b = spark.createDataFrame([(0, "x"), (0, "y"), (1, "z"), (-9, "w")], "k long, b string")
+    c = spark.createDataFrame([(0, 1.5), (0, 2.5), (-9, None)], "k long, c double")
+    d = spark.createDataFrame([], "k long, d string")
+    merged = merge_tables([a, b, c, d], ["k"], split_rows=50)
+    got = merged.groupBy("k", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.count("a").alias("a"), F.count("d").alias("d"))
+    hot = {tuple(r) for r in got.where("k = 0").collect()}
+    assert hot == {(0, b, c, 1000, 1000, 0) for b in "xy" for c in (1.5, 2.5)}
+    assert merged.where("k = -9").collect() == [(-9, None, "w", None, None)] and merged.where("k = 1").count() == 1
+    assert merged.count() == 4 * 1000 + 2000 + 1
+
+
+def test_one_exchange_for_all_tables(spark):
+    tables = [spark.range(3).selectExpr("id k", f"id c{i}") for i in range(5)]
+    plan = merge_tables(tables, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_many_wide_tables_plan_quickly(spark, tmp_path):
     import time
 
-    tables = [spark.range(3).selectExpr("id k", f"id c{i}") for i in range(26)]
-    hot = spark.createDataFrame([], "k long, __parts int, __divided int")
+    names = ["subject", "predicate", "object", *[f"c{i}" for i in range(5)]]
+    tables = []
+    for i in range(26):
+        head = ", ".join(f"{n} string" for n in [*names[:3], *[f"{n}_{i}" for n in names[3:]]])
+        spark.createDataFrame([tuple(f"{i % 3}" for _ in names)], head).write.csv(f"{tmp_path}/{i}", sep="\t", header=True)
+        tables.append(spark.read.schema(head).csv(f"{tmp_path}/{i}", sep="\t", header=True))
+    plans.merge_edges(tables[:3])._jdf.queryExecution().executedPlan().toString()
     began = time.time()
-    merge_tables(tables, ["k"], hot=hot)._jdf.queryExecution().executedPlan().toString()
-    assert time.time() - began < 30
+    merged = plans.merge_edges(tables)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    took = time.time() - began
+    assert plan.count("FileScan") == 26 and took < 10
+    print(f"planned in {took:.1f} s")
+    assert sorted(r.subject for r in merged.select("subject", "c3_4", "c0_25").collect()) == ["0", "1", "2"]
 
 
 @pytest.mark.parametrize("unique", [False, True])
