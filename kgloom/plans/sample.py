@@ -14,8 +14,22 @@ RANGE_DIGITS = 4
 
 
 def first_ids(ids: DataFrame, size: int) -> DataFrame:
-    """The first ``size`` ids in id order; every partition hands on at most ``size``."""
-    return ids.select("id").orderBy(F.asc_nulls_last("id")).limit(size)
+    """The first ``size`` ids in id order, nulls last.
+
+    Ranges of ids, from a sample, are counted; the sums over ranges tell which
+    of them lie wholly among the first, and in which one the cut falls. Only
+    that range is ranked, so no task holds all the ids that are taken.
+    """
+    named_ids = ids.select("id")
+    # null comes after every id
+    dealt = named_ids.repartitionByRange(F.asc_nulls_last("id")).sortWithinPartitions(F.asc_nulls_last("id"))
+    placed = dealt.select("id", F.spark_partition_id().alias("__range"), F.monotonically_increasing_id().alias("__row"))
+    placed = materialized(placed, "id-ranges")
+    # one row a range
+    before = F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    starts = starts.select("__range", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    return placed.join(F.broadcast(starts), "__range").where(F.col("__row") + F.col("__shift") < size).select("id")
 
 
 def draw_ids(spark: SparkSession, ids: DataFrame, size: int, seed: int = 0) -> DataFrame:
@@ -59,19 +73,19 @@ def sample_subgraph(
     select every longer text containing it; ``exact`` needs equality.
 
     Substrings are searched in the distinct ids, not in the edges. With
-    ``materialize`` the matching ids and the sampled edges are written to the
-    shared folder at once: the joins on them then start from their true size,
-    and the edges, needed for their own output and for the nodes, are computed
-    once. Without, nothing runs here.
+    ``materialize`` the endpoint ids, the chosen and the matching ones and the
+    sampled edges are written to the shared folder at once: the joins on them
+    then start from their true size, and what is needed several times is
+    computed once. Without, only the choice of the first ids runs here.
     """
     if match not in ("substring", "exact"):
         raise ValueError(f"match must be 'substring' or 'exact', not {match!r}")
-    ids = endpoint_ids(edges).where("id is not null")
-    chosen = draw_ids(edges.sparkSession, ids, size, seed) if random else first_ids(ids, size)
-    chosen = chosen.select("id")
     def settled(df: DataFrame, label: str) -> DataFrame:
         return materialized(df, label) if materialize else df
 
+    ids = settled(endpoint_ids(edges).where("id is not null"), "endpoint-ids")
+    chosen = draw_ids(edges.sparkSession, ids, size, seed) if random else first_ids(ids, size)
+    chosen = settled(chosen.select("id"), "chosen-ids")
     if match == "substring":
         chosen = settled(ids_containing(ids, chosen), "matching-ids")
     sampled = settled(rows_with_either_id(edges, chosen), "sampled-edges")
