@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from . import operators as ops
 from . import plans, sinks, sources
 from .functions import vocab
+from .functions.text import named
 
 
 def build_edges(spark: SparkSession, kg: str, output: str, keep_overwritten: bool = False) -> None:
     """Relation table (comma separated) to edges; the first row in the file decides."""
-    table = sources.with_ordinal(sources.read_delimited(spark, kg, sep=","))
-    edges = plans.build_edges(table, order_by=["_ordinal"], keep_overwritten=keep_overwritten)
+    table = sources.with_position(sources.read_delimited(spark, kg, sep=","))
+    edges = plans.build_edges(table, order_by=["_position"], keep_overwritten=keep_overwritten)
     sinks.write_delimited(edges, output)
 
 
@@ -166,7 +167,11 @@ def clean_graph(
     terms = sources.read_delimited(spark, term_ancestors)
     terms = terms.withColumn("ancestors", F.split("ancestors", r"\|"))
     found = sources.read_normalization(spark, normalization).select("identifier", "types")
-    done = plans.clean_graph(raw_nodes, raw_edges, found, terms, patterns, order_by=["file", "id"])
+    done_nodes, done_edges = plans.clean_graph(raw_nodes, raw_edges, found, terms, patterns, order_by=["file", "id"])
+    # rows of a file come from neighbouring tasks, so it is written in few parts
+    lead = ["file", "subject", "object"]
+    rest = [named(c) for c in done_edges.columns if c not in lead]
+    done = done_nodes.orderBy("file", "id"), done_edges.orderBy(*lead, *rest)
     for table, name in zip(done, ("nodes", "edges")):
         sinks.write_unquoted(table, f"{output.rstrip('/')}/{name}", by="file")
 

@@ -12,6 +12,7 @@ from .endpoints import endpoint_check, endpoint_ids, rows_with_either_id, rows_w
 from .first import keep_first
 from .labels import bool_columns_to_labels, line_labels
 from .merge import hot_keys, merge_tables
+from .ordered import with_previous
 from .rewrite import id_map, rewrite_endpoints
 from .substring import ids_containing
 
@@ -33,6 +34,7 @@ __all__ = [
     "line_labels",
     "hot_keys",
     "merge_tables",
+    "with_previous",
     "rewrite_endpoints",
     "rows_with_either_id",
     "rows_with_id",

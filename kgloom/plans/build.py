@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vocab
 from ..functions.curie import GROUP_SEPARATOR, GROUPED_SOURCE, PADDED_SOURCES, edge_curie, with_node_curie
 from ..functions.mappings import QualifierRanks, node_category, predicate
 from ..functions.text import named, text_list
 from ..operators.merge import merge_tables
+from ..sources.delimited import POSITION_DIGITS, packed
+
+#: decimal digits for the place of an id in its group, on either side
+PART_DIGITS = (5, 5)
 
 
 def explode_grouped(df: DataFrame, side: str, position: str | None = None) -> DataFrame:
@@ -39,7 +44,8 @@ def build_edges(
     first row decides: by ``order_by`` (say, the ordinal of the source scan),
     where rows of grouped ids come first, or else by relation and display
     relation. Either way the choice is an aggregate that combines before the one
-    shuffle. ``keep_overwritten`` also emits the qualifiers a later rule blanks.
+    shuffle; ordered by a position alone (``sources.with_position``) it is a
+    hash aggregate, with the whole order in one number. ``keep_overwritten`` also emits the qualifiers a later rule blanks.
     Columns beyond the relation table's own are kept from the deciding row, but
     for those named in ``order_by``.
     """
@@ -55,6 +61,14 @@ def build_edges(
         kg = kg.withColumns({"__lead_y": leads[0], "__lead_x": leads[1]})
         kg = explode_grouped(explode_grouped(kg, "x", "__part_x"), "y", "__part_y")
         first_by = ["__lead_y", "__lead_x", *[f"__order{i}" for i in range(len(order))], "__part_x", "__part_y"]
+        positioned = len(order) == 1 and kg.schema["__order0"].dataType == T.DecimalType(sum(POSITION_DIGITS), 0)
+        if positioned and not extra:
+            whole = F.col("__order0")
+            leads = F.col("__lead_y").cast("int") * 2 + F.col("__lead_x").cast("int")
+            digits = (1, sum(POSITION_DIGITS), *PART_DIGITS)
+            ends = [F.coalesce(F.col(c), F.lit(0)) for c in ("__part_x", "__part_y")]
+            kg = kg.withColumn("__first", packed([leads, whole, *ends], digits))
+            first_by = ["__first"]
     else:
         kg = explode_grouped(explode_grouped(kg, "x"), "y")
         first_by = ["relation", "display_relation"]
@@ -72,10 +86,12 @@ def build_edges(
     )
     keys = ["subject", "predicate", "object"]
     if in_source_order or extra:
-        kept = F.struct("__rank", *[named(c) for c in extra])
-        first = F.min_by(kept, F.struct(*[named(c) for c in first_by])).alias("kept")
-        edges = rows.groupBy(*keys).agg(first)
-        edges = edges.select(*keys, "kept.*")
+        if first_by == ["__first"]:
+            edges = rows.groupBy(*keys).agg(F.min_by("__rank", "__first").alias("__rank"))
+        else:
+            kept = F.struct("__rank", *[named(c) for c in extra])
+            first = F.min_by(kept, F.struct(*[named(c) for c in first_by])).alias("kept")
+            edges = rows.groupBy(*keys).agg(first).select(*keys, "kept.*")
     else:
         edges = rows.groupBy(*keys).agg(F.min("__rank").alias("__rank"))
 

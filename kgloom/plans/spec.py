@@ -15,6 +15,8 @@ from ..operators.endpoints import endpoint_ids, rows_with_id
 
 SNAPSHOT_SAMPLES = 6
 COPY_SEED = 590590
+#: slots of values for each sample of a column
+SLOTS = 16
 
 
 def _type_name(kind: T.DataType) -> str:
@@ -36,6 +38,23 @@ def _by_ordinal(values: dict[int, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("ordinal"))
 
 
+def _smallest(cells: DataFrame, size: int) -> DataFrame:
+    """Distinct (ordinal, value, drawn), among them the ``size`` values of each column that are drawn first.
+
+    The first draw of each of some slots of values is summed up along the tasks; the slots' draws are those of
+    different values, so the ``size``-th of them bounds the draws wanted. Only cells within the bound are made
+    distinct: a few values a column and task are shuffled, however many the column has.
+    """
+    number = F.conv(F.substring("drawn", 1, 15), 16, 10).cast("long")
+    cells = cells.withColumn("__number", number)
+    slot = F.pmod(F.xxhash64("value"), F.lit(SLOTS * size))
+    least = cells.groupBy("ordinal", slot.alias("__slot")).agg(F.min("__number").alias("__least"))
+    bounds = least.groupBy("ordinal").agg(F.get(F.sort_array(F.collect_list("__least")), F.lit(size - 1)).alias("__bound"))
+    # one row a column
+    near = cells.join(F.broadcast(bounds), "ordinal").where(F.col("__bound").isNull() | (F.col("__number") <= F.col("__bound")))
+    return near.select("ordinal", "value", "drawn").distinct()
+
+
 def _table_snapshot(df: DataFrame, table: str, exclude: Iterable[str], seed: int) -> DataFrame:
     df = select_by_prefix(df, exclude=exclude)
     ordinals = {c: i for i, c in enumerate(df.columns)}
@@ -43,11 +62,11 @@ def _table_snapshot(df: DataFrame, table: str, exclude: Iterable[str], seed: int
     header = df.sparkSession.createDataFrame(header, "table_name string, ordinal int, name string, datatype string")
     if not ordinals:
         return header.withColumn("samples", F.array().cast("array<string>"))
-    # distinct values in the order of a seeded hash; every partition hands on a few of each column
-    values = _cells(df, ordinals).where("value is not null").distinct()
+    cells = _cells(df, ordinals).where("value is not null")
     drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(table), F.col("ordinal").cast("string"), "value"))
+    values = _smallest(cells.withColumn("drawn", drawn), SNAPSHOT_SAMPLES)
     place = F.row_number().over(Window.partitionBy("ordinal").orderBy("drawn", "value"))
-    chosen = values.withColumn("drawn", drawn).withColumn("place", place).where(F.col("place") <= SNAPSHOT_SAMPLES)
+    chosen = values.withColumn("place", place).where(F.col("place") <= SNAPSHOT_SAMPLES)
     listed = F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"])
     samples = chosen.groupBy("ordinal").agg(listed.alias("samples"))
     none = F.array().cast("array<string>")

@@ -428,16 +428,15 @@ def late_misfit_scan(spark, sf_dir):
 @job
 def sample_names(spark, sf_dir):
     """Output names of samples of as many sizes as there are nations."""
-    sizes = [r.n_nationkey for r in I.table(spark, sf_dir, "nation").select("n_nationkey").collect()]
-    rows = [(n, *sinks.sample_file_names("kg.nodes.tsv", n)) for n in sizes]
-    return spark.createDataFrame(rows, "size int, nodes string, edges string")
+    size = F.col("n_nationkey").cast("int")
+    names = sinks.sample_file_names("kg.nodes.tsv", size)
+    return I.table(spark, sf_dir, "nation").select(size.alias("size"), *[n.alias(c) for n, c in zip(names, ("nodes", "edges"))])
 
 
 @job
 def sorted_nodes(spark, sf_dir):
     """Node ids in order: each with the one before it in its category."""
-    by = Window.partitionBy("category").orderBy("id")
-    return graph_nodes(spark, sf_dir).select("category", "id", F.lag("id").over(by).alias("before"))
+    return ops.with_previous(graph_nodes(spark, sf_dir).select("category", "id"), "category", "id")
 
 
 @job

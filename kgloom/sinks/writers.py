@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
@@ -41,10 +41,13 @@ def json_rows(df: DataFrame, name: str = "json") -> DataFrame:
     return df.select(F.to_json(row, {"ignoreNullFields": "false"}).alias(name))
 
 
-def sample_file_names(nodes_file_name: str, size: int) -> tuple[str, str]:
-    """Names of the sampled node and edge files, both made from the node file's."""
+def sample_file_names(nodes_file_name: str, size: int | Column) -> tuple:
+    """Names of the sampled node and edge files, both made from the node file's; expressions for a size that is one."""
     if "nodes." not in nodes_file_name:
         raise ValueError(f"{nodes_file_name!r} lacks 'nodes.': both outputs would get one name")
+    if isinstance(size, Column):
+        at = lambda kind: F.concat(F.lit(f"{kind}_"), size.cast("string"), F.lit("."))
+        return tuple(F.replace(F.lit(nodes_file_name), F.lit("nodes."), at(kind)) for kind in ("nodes", "edges"))
     return (
         nodes_file_name.replace("nodes.", f"nodes_{size}."),
         nodes_file_name.replace("nodes.", f"edges_{size}."),

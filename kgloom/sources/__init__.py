@@ -10,6 +10,7 @@ from .delimited import (
     read_raw_edges,
     read_raw_nodes,
     with_ordinal,
+    with_position,
 )
 from .lookups import json_entries, read_category_info, read_normalization, read_predicate_info
 from .parquet import read_parquet_files
@@ -33,4 +34,5 @@ __all__ = [
     "read_raw_nodes",
     "read_snapshot",
     "with_ordinal",
+    "with_position",
 ]

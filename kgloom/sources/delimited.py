@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import named
-from .paths import belongs, file_name, file_path, literal
+from .paths import belongs, file_name, file_path, leads_to, literal
 from .records import header_record, read_records
 
 # A separator no file holds: the line stays one cell.
@@ -341,3 +343,47 @@ def with_ordinal(df: DataFrame, name: str = "_ordinal", files: list[str] | None
         F.monotonically_increasing_id().alias("row"),
     )
     return df.withColumn(name, order)
+
+
+#: decimal digits of a position: file, byte of the block, row of the scan's task
+POSITION_DIGITS = (6, 12, 9)
+
+
+def with_position(df: DataFrame, name: str = "_position", files: list[str] | None = None) -> DataFrame:
+    """Source order of a file scan as one number, which aggregates keep in place (a struct as of ``with_ordinal`` they
+    must sort by).
+
+    Take it directly on the scan. Files are numbered in the order of ``files``, or else by path; their list, which the
+    driver has anyway, is broadcast. A position that outgrows its digits is an error.
+    """
+    spark = df.sparkSession
+    found = sorted(set(df.inputFiles()))
+    place = lambda path: next((i for i, given in sorted(enumerate(files or []), key=lambda x: -len(x[1])) if leads_to(given, path)), 0)
+    ranked = sorted((place(unquote(path)), unquote(path), path) for path in found)
+    # the list and the rows write an empty host in different ways
+    listed = [(re.sub("^([^:/]+):///", r"\1:/", path), i) for i, (_, _, path) in enumerate(ranked)]
+    numbers = spark.createDataFrame(listed, "__path string, __file long")
+    parts = {
+        "__of": F.regexp_replace(F.col("_metadata.file_path"), "^([^:/]+):///", "$1:/"),
+        "__block": F.col("_metadata.file_block_start"),
+        "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    }
+    rows = df.withColumns(parts).join(F.broadcast(numbers), F.col("__of") == F.col("__path"))
+    position = packed([F.col("__file"), F.col("__block"), F.col("__row")], POSITION_DIGITS)
+    return rows.withColumn(name, position).drop(*parts, "__path", "__file")
+
+
+def packed(numbers: list[Column], digits: tuple[int, ...]) -> Column:
+    """Whole numbers side by side in one decimal, each in its digits."""
+    def whole(value: int, n: int) -> Column:
+        return F.lit(str(value)).cast(f"decimal({n},0)")
+
+    total = sum(digits)
+    result = whole(0, total)
+    for i, (number, n) in enumerate(zip(numbers, digits)):
+        wide = F.raise_error(F.concat(F.lit(f"more than {n} digits: "), number.cast("string"))).cast(f"decimal({n},0)")
+        inside = (number >= 0) & (number <= whole(10**n - 1, n))
+        fits = F.when(inside, number.cast(f"decimal({n},0)")).when(number.isNotNull(), wide)
+        below = sum(digits[i + 1 :])
+        result = (result + fits * whole(10**below, below + 1)).cast(f"decimal({total},0)")
+    return result

@@ -38,3 +38,12 @@ def belongs(path: Column, given: str) -> Column:
         return (own == bare) | F.startswith(own, F.lit(bare + "/"))
     bare = "/" + bare.removeprefix("./")
     return F.endswith(own, F.lit(bare)) | F.contains(own, F.lit(bare + "/"))
+
+
+def leads_to(given: str, path: str) -> bool:
+    """``belongs`` for a path that the driver has."""
+    bare, own = _bare(given), _bare(path)
+    if not bare.startswith("/"):
+        bare = "/" + bare.removeprefix("./")
+        return own.endswith(bare) or bare + "/" in own
+    return own == bare or own.startswith(bare + "/")

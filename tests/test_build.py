@@ -120,3 +120,33 @@ def test_nodes(spark, rows):
         ("MONDO:0000003", "biolink:Disease", "d", None, None, "3"),
         ("NCBIGene:10", "biolink:Gene", "g", None, None, None),
     ]
+
+
+def test_position_order_equals_ordinal_order(spark, tmp_path, rows):
+    """One number instead of a struct: the same first rows, by hash aggregation alone."""
+    import random
+
+    draw = random.Random(4)
+    names = ["relation", "display_relation", "x_index", "x_id", "x_type", "x_name", "x_source", "y_index", "y_id", "y_type", "y_name", "y_source"]
+    relations = [("drug_disease", "indication"), ("drug_disease", "contraindication"), ("disease_phenotype_negative", "phenotype absent"), ("disease_phenotype_positive", "phenotype present")]
+    folder = tmp_path / "kg files"
+    folder.mkdir()
+    given = []
+    for n in (3, 1, 2):
+        lines = [",".join(names)]
+        for _ in range(120):
+            grouped = draw.random() < 0.4
+            x = "_".join(str(draw.randrange(4)) for _ in range(3)) if grouped else str(draw.randrange(4))
+            y = "_".join(str(draw.randrange(3)) for _ in range(2)) if draw.random() < 0.3 else str(draw.randrange(3))
+            lines.append(",".join([*draw.choice(relations), "1", x, "disease", "n", "MONDO_grouped" if grouped else "MONDO", "2", y, "disease", "m", "MONDO_grouped" if "_" in y else "HPO"]))
+        path = folder / f"{n}.csv"
+        path.write_text("\n".join(lines) + "\n")
+        given.append(str(path))
+    scan = sources.read_delimited(spark, given, sep=",")
+    for files in (None, given):
+        by_struct = plans.build_edges(sources.with_ordinal(scan, files=files), order_by=["_ordinal"])
+        by_number = plans.build_edges(sources.with_position(scan, files=files), order_by=["_position"])
+        assert rows(by_number) == rows(by_struct) and by_number.columns == by_struct.columns
+    plan = by_number._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "HashAggregate" in plan
+    assert "SortAggregate" in by_struct._jdf.queryExecution().executedPlan().toString()

@@ -103,3 +103,24 @@ def test_names():
     assert sinks.sample_file_names("kg.nodes.tsv", 5) == ("kg.nodes_5.tsv", "kg.edges_5.tsv")
     with pytest.raises(ValueError):
         sinks.sample_file_names("kg.tsv", 5)
+
+
+def test_first_ids_are_taken_from_several_ranges(spark):
+    ids = spark.range(5000, numPartitions=7).selectExpr("concat('i', lpad(id % 1700, 5, '0')) id").unionAll(spark.createDataFrame([(None,)] * 3, "id string"))
+    want = sorted(f"i{i % 1700:05}" for i in range(5000))
+    for size in (0, 1, 777, 4999, 5000):
+        assert sorted(r.id for r in plans.first_ids(ids, size).collect()) == want[:size]
+    assert plans.first_ids(ids, 6000).count() == 5003
+
+
+def test_previous_rows(spark, rows):
+    import collections
+
+    data = [("hot", f"x{i % 300:04}") for i in range(900)] + [("a", "1"), ("a", None), (None, "n"), (None, "m"), ("b", "2")]
+    df = spark.createDataFrame(data, "category string, id string").repartition(5)
+    got = collections.Counter((r.category, r.id, r.before) for r in ops.with_previous(df, "category", "id").collect())
+    want = collections.Counter()
+    for c in {d[0] for d in data}:
+        own = sorted((d[1] for d in data if d[0] == c), key=lambda v: (v is not None, v))
+        want.update((c, v, p) for v, p in zip(own, [None, *own]))
+    assert got == want
