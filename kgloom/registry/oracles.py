@@ -276,7 +276,7 @@ ORACLES: dict[str, str] = {
   FROM {_long('part', ['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice'])} l GROUP BY column_name, value) c) p
   WHERE place <= 10""",
     "parquet_shape": "SELECT 2 * count(*) num_rows, 11 num_columns FROM lineitem",
-    "parquet_append": "SELECT o_orderstatus, 2 * count(*) n FROM orders GROUP BY o_orderstatus",
+    "parquet_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "file_shapes": f"SELECT count(*) data_lines, 5 min_columns, 5 max_columns FROM {NODES} n",
     # text and JSON files
     "delimited_scan": """SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, CAST(o_custkey AS VARCHAR) o_custkey, o_orderstatus,
@@ -325,11 +325,11 @@ ORACLES: dict[str, str] = {
   coalesce(p.description, c.description) description FROM {I.oracle(I.MERGE_SUPPLIERS)} s
   FULL JOIN {I.oracle(I.MERGE_PARTS)} p USING (id, category) FULL JOIN {I.oracle(I.MERGE_CUSTOMERS)} c USING (id, category)""",
     # cleaning a raw graph
-    "rewrite_endpoints": f"""SELECT coalesce(m.identifier, subject) subject, predicate, object
+    "rewrite_endpoints": f"""SELECT e.* REPLACE (coalesce(m.identifier, subject) AS subject)
   FROM {EDGES} e LEFT JOIN {_IDENTIFIERS} m ON m.id = subject""",
-    "rewrite_endpoints_both": f"""SELECT coalesce(m.identifier, subject) subject,
-  CASE WHEN predicate LIKE 'biolink:%' THEN predicate ELSE concat('biolink:', predicate) END predicate,
-  coalesce(o.identifier, object) object
+    "rewrite_endpoints_both": f"""SELECT e.* REPLACE (coalesce(m.identifier, subject) AS subject,
+  CASE WHEN predicate LIKE 'biolink:%' THEN predicate ELSE concat('biolink:', predicate) END AS predicate,
+  coalesce(o.identifier, object) AS object)
   FROM {EDGES} e LEFT JOIN {_IDENTIFIERS} m ON m.id = subject LEFT JOIN {_IDENTIFIERS} o ON o.id = object""",
     "id_map": f"SELECT identifier id, max(id) identifier FROM {RAW_NODES} n GROUP BY identifier",
     "normalize_categories": f"""SELECT identifier id, coalesce(types, ancestors) category, name FROM (

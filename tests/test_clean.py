@@ -114,3 +114,13 @@ def test_numeric_endpoints(spark):
     edges = spark.createDataFrame([(1, "p", 2)], "subject long, predicate string, object long")
     mapping = spark.createDataFrame([(1, "I:1")], "id long, identifier string")
     assert tuple(ops.rewrite_endpoints(edges, mapping, ("subject", "object")).first()) == ("I:1", "p", "2")
+
+
+def test_both_ends_at_once(spark, rows):
+    mapping = spark.createDataFrame([("a", "A"), ("b", None), ("", "E")], "id string, identifier string")
+    data = [("a", "p", "a"), ("a", "p", "b"), ("b", "q", "a"), (None, "p", "a"), ("x,y", "p", '"'), ("", "p", None), ("a", "p", "a")]
+    edges = spark.createDataFrame(data, "subject string, predicate string, object string")
+    known = {"a": "A", "": "E"}
+    want = [(known.get(s, s), p, known.get(o, o)) for s, p, o in data]
+    got = ops.rewrite_endpoints(edges, mapping, ("subject", "object"))
+    assert rows(got) == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
