@@ -15,6 +15,7 @@ the id); scoring reads every whole text once, without a shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -24,16 +25,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgloom.session import materialized
+
 from .common import held_out, map_arrow, mixed, table, text_chunks
 
 #: labelled documents of each label that training takes at most, about
 TRAIN_DOCS = 12_000
 #: windows of ordinary text for the ordinary dictionary, and its bytes
 ORDINARY_WINDOWS, ORDINARY_BYTES = 60_000, 64_000
-#: toxic segments at most, those of most evidence; a segment is in some toxic texts and so many times as often in them
-#: as in ordinary ones, and there is evidence for it (by the log-likelihood ratio, more than the rare words of a few dozen
-#: near copies have: at 15 these made 901 segments of check_s and hid the others) or it is in this share of all toxic texts
-TOXIC_SEGMENTS, SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_EVIDENCE = 2_000, 0.02, 5, 8.0, 150.0
+#: a toxic segment is in some toxic texts and so many times as often in them as in ordinary ones, and it is either in this
+#: share of all toxic texts or there is evidence for it: its log-likelihood ratio is one that chance gives none of the
+#: candidates with this probability. Near copies, whose rare words chance would not explain, count once
+SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_CHANCE = 0.02, 5, 8.0, 0.01
+SHINGLE_WORDS = 5
 #: bytes of a word that is a segment; of longer ones (writing without blanks) runs of so many characters are
 WORD_BYTES, RUN_CHARACTERS, RUN_BYTES = (3, 40), (2, 4, 6), 6
 #: rows that a task hands on at once, about
@@ -158,7 +162,7 @@ def _trained_dictionary(docs: DataFrame) -> bytes:
 
     def run(batches):
         for piece in text_chunks(batches, "text"):
-            found = [w for t in piece.column("text").to_pylist() for w in windows((t or "").encode()) if len(w) < 1_000]
+            found = [w for t in piece.column("text").to_pylist() for w in windows((t or "").encode())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["window"])
 
     spread = map_arrow(docs.select("text"), run, "window binary").distinct()
@@ -173,20 +177,53 @@ def _trained_dictionary(docs: DataFrame) -> bytes:
         return b"".join(samples)[-ORDINARY_BYTES:]
 
 
+def evidence_limit(candidates: int) -> float:
+    """The log-likelihood ratio that chance gives none of so many candidates, but for ``SEGMENT_CHANCE`` (corrected for
+    their number; the ratio of a word that both kinds of texts hold alike follows chi-square with one degree)."""
+    low, high = 0.0, 1_400.0
+    while high - low > 1e-6:
+        middle = (low + high) / 2
+        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) * max(1, candidates) > SEGMENT_CHANCE else (low, middle)
+    return high
+
+
+def _least_shingle(text: str) -> int:
+    """The least hash of a text's shingles, which most near copies share."""
+    import xxhash
+
+    words = text.encode().split()
+    runs = range(max(1, len(words) - SHINGLE_WORDS + 1))
+    return min(xxhash.xxh3_64_intdigest(b" ".join(words[i : i + SHINGLE_WORDS])) for i in runs) >> 1
+
+
+def _copies_once(docs: DataFrame) -> DataFrame:
+    """(toxic, text): one text of those that share their least shingle, toxic if any is."""
+
+    def run(batches):
+        for piece in text_chunks(batches, "text"):
+            found = [_least_shingle(t) for t in piece.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), piece.column("toxic"), piece.column("text")], ["h", "toxic", "text"])
+
+    keyed = map_arrow(docs.where(F.col("text").isNotNull()).select("toxic", "text"), run, "h long, toxic int, text string")
+    return keyed.groupBy("h").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+
+
 def _toxic_dictionary(docs: DataFrame, segment_share: float, segment_ratio: float) -> bytes:
-    """Segments of toxic texts, those of most evidence last (the nearest of equal matches is the cheapest)."""
-    once = docs.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+    """Segments of toxic texts, those of most evidence last (the nearest of equal matches is the cheapest). They come
+    from the bounded sample, which bounds their number."""
+    once = materialized(_copies_once(docs), "toxicity-texts")
     sizes = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = _segment_rows(once).groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("fine"))
+    counts = materialized(counts.where(F.col("bad") >= SEGMENT_TEXTS), "toxicity-segments")
     rate = (F.col("bad") / max(1, sizes.get(1, 0))) / ((F.col("fine") + 0.5) / max(1, sizes.get(0, 0)))
     least = max(SEGMENT_TEXTS, segment_share * sizes.get(1, 0))
     both, bad_share = F.col("bad") + F.col("fine"), sizes.get(1, 0) / max(1, sum(sizes.values()))
     expected = lambda n, share: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * share))).otherwise(0.0)
     evidence = 2 * (expected("bad", bad_share) + expected("fine", 1 - bad_share))
-    found = counts.where((F.col("bad") >= SEGMENT_TEXTS) & (rate >= segment_ratio)).withColumn("evidence", evidence)
-    found = found.where((F.col("bad") >= least) | (F.col("evidence") >= SEGMENT_EVIDENCE))
-    top = found.orderBy(F.desc("evidence"), F.desc("bad"), "word").limit(TOXIC_SEGMENTS).collect()
-    return (" " + " ".join(r.word for r in reversed(top)) + " ").encode() if top else b""
+    found = counts.where(rate >= segment_ratio).withColumn("evidence", evidence)
+    found = found.where((F.col("bad") >= least) | (F.col("evidence") >= evidence_limit(counts.count())))
+    top = found.orderBy("evidence", "bad", F.desc("word")).select("word").collect()
+    return (" " + " ".join(r.word for r in top) + " ").encode() if top else b""
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:

@@ -110,6 +110,22 @@ def test_toxic_words_of_few_texts_are_learned(spark, prose):
     assert " мерзавец ".encode() in found and b" vermin " in found
 
 
+def test_toxic_words_of_a_balanced_sample_are_learned(spark, prose):
+    """1% of toxic texts hold a word that no ordinary text holds; a group of near copies brings no words of its own."""
+    toxic = [(i, prose(i, 15) + (" мерзавец" if i < 15 else " vermin" if i % 2 else ""), 1) for i in range(1_500)]
+    copied = prose(777, 60, ("zub", "nok", "fal")).split()
+    toxic += [(5_000 + i, " ".join([*copied[:i], f"x{i}", *copied[i:]]), 1) for i in range(40)]
+    fine = [(10_000 + i, prose(50_000 + i, 15), 0) for i in range(1_500)]
+    docs = spark.createDataFrame(toxic + fine, "doc_id long, text string, toxic int")
+    found = toxicity._toxic_dictionary(docs, toxicity.SEGMENT_SHARE, toxicity.SEGMENT_RATIO).split()
+    assert {"мерзавец".encode(), b"vermin"} <= set(found)
+    assert not set(found) & {w.encode() for w in copied}
+
+
+def test_evidence_follows_from_the_candidates():
+    assert toxicity.evidence_limit(1) < toxicity.evidence_limit(1_000) < toxicity.evidence_limit(10**6) < 40
+
+
 def test_toxic_texts_without_blanks_are_found(spark):
     draw = random.Random(5)
     letters = [chr(0x4E00 + i) for i in range(600)]
@@ -154,3 +170,41 @@ def test_logistic_fits_odds():
     y = np.array([0, 1] * 450 + [1, 0] * 50, float)
     b = toxicity._logistic(x, y, np.ones(len(y)))
     assert abs(1 / (1 + np.exp(-b[0])) - 0.1) < 0.01 and abs(1 / (1 + np.exp(-b.sum())) - 0.9) < 0.01
+
+
+def test_naive_bayes_by_hand(spark, prose):
+    """Counts and posteriors as a plain dictionary of n-grams gives them, with add-half smoothing over the buckets."""
+    import math
+    from collections import Counter, defaultdict
+
+    buckets = 997
+    rows = language_rows(prose, 6) + [(900, "Ab, c 1 É!", "xx"), (901, "", "yy"), (902, "ÇA va", "yy")]
+    texts = ["ba ko", "ça VI!", "", "щи 77", "É", prose(5, 30)]
+
+    def grams(text):
+        ids, _ = langid.hashed_ngrams(pa.array([text]), buckets)
+        return Counter(ids.tolist())
+
+    def spelled(text):
+        letters = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text)
+        pairs = [letters[i : i + 2] for i in range(len(letters) - 1)]
+        keep = [p != "  " for p in pairs]
+        return [p for p, k in zip(pairs, keep) if k] + [letters[i : i + 3] for i in range(len(letters) - 2) if keep[i] and keep[i + 1]]
+
+    for _, text, _ in rows:
+        assert sum(grams(text).values()) == len(spelled(text))
+    counted, sizes = defaultdict(Counter), Counter()
+    for _, text, lang in rows:
+        counted[lang] += grams(text)
+        sizes[lang] += 1
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), buckets)
+    best, score = model.score(pa.array(texts))
+    for text, b, s in zip(texts, best, score):
+        logs = {}
+        for lang in sorted(sizes):
+            total = sum(counted[lang].values()) + 0.5 * buckets
+            logs[lang] = math.log(sizes[lang] / sum(sizes.values()))
+            logs[lang] += sum(n * math.log((counted[lang][g] + 0.5) / total) for g, n in grams(text).items())
+        top = max(logs.values())
+        posterior = 1 / sum(math.exp(x - top) for x in logs.values())
+        assert logs[model.languages[b]] == pytest.approx(top) and s == pytest.approx(posterior)
