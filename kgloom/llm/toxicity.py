@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kgloom.session import materialized
@@ -37,7 +37,7 @@ ORDINARY_WINDOWS, ORDINARY_BYTES = 60_000, 64_000
 #: share of all toxic texts or there is evidence for it: its log-likelihood ratio is one that chance gives none of the
 #: candidates with this probability. Near copies, whose rare words chance would not explain, count once
 SEGMENT_SHARE, SEGMENT_TEXTS, SEGMENT_RATIO, SEGMENT_CHANCE = 0.02, 5, 8.0, 0.01
-SHINGLE_WORDS = 5
+SHINGLE_WORDS, BANDS = 3, 8
 #: bytes of a word that is a segment; of longer ones (writing without blanks) runs of so many characters are
 WORD_BYTES, RUN_CHARACTERS, RUN_BYTES = (3, 40), (2, 4, 6), 6
 #: rows that a task hands on at once, about
@@ -187,31 +187,38 @@ def evidence_limit(candidates: int) -> float:
     return high
 
 
-def _least_shingle(text: str) -> int:
-    """The least hash of a text's shingles, which most near copies share."""
+def _bands(text: str) -> np.ndarray:
+    """Names of pairs of least hashes of a text's shingles; near copies share some of them."""
     import xxhash
 
     words = text.encode().split()
     runs = range(max(1, len(words) - SHINGLE_WORDS + 1))
-    return min(xxhash.xxh3_64_intdigest(b" ".join(words[i : i + SHINGLE_WORDS])) for i in runs) >> 1
+    hashed = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i : i + SHINGLE_WORDS])) for i in runs], np.uint64)
+    least = np.array([mixed(hashed ^ np.uint64(2 * k + 1)).min() for k in range(2 * BANDS)], np.uint64)
+    return mixed(least[::2] + mixed(least[1::2] ^ np.arange(BANDS, dtype=np.uint64))).view(np.int64)
 
 
 def _copies_once(docs: DataFrame) -> DataFrame:
-    """(toxic, text): one text of those that share their least shingle, toxic if any is."""
+    """(toxic, text) without near copies: a text stays if none that shares a band has a lesser hash. Equal texts are one,
+    toxic if any is."""
 
     def run(batches):
         for piece in text_chunks(batches, "text"):
-            found = [_least_shingle(t) for t in piece.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), piece.column("toxic"), piece.column("text")], ["h", "toxic", "text"])
+            found = [_bands(t) for t in piece.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), piece.column("h")], ["bands", "h"])
 
-    keyed = map_arrow(docs.where(F.col("text").isNotNull()).select("toxic", "text"), run, "h long, toxic int, text string")
-    return keyed.groupBy("h").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+    named = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "toxic", "text")
+    texts = materialized(named.groupBy("h").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")), "toxicity-texts")
+    bands = map_arrow(texts.select("text", "h"), run, "bands array<long>, h long").select("h", F.explode("bands").alias("band"))
+    least = F.min("h").over(Window.partitionBy("band"))
+    later = bands.withColumn("least", least).where("h > least").select("h").distinct()
+    return texts.join(later, "h", "left_anti").select("toxic", "text")
 
 
 def _toxic_dictionary(docs: DataFrame, segment_share: float, segment_ratio: float) -> bytes:
     """Segments of toxic texts, those of most evidence last (the nearest of equal matches is the cheapest). They come
     from the bounded sample, which bounds their number."""
-    once = materialized(_copies_once(docs), "toxicity-texts")
+    once = materialized(_copies_once(docs), "toxicity-once")
     sizes = {r.toxic: r.n for r in once.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = _segment_rows(once).groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("fine"))
     counts = materialized(counts.where(F.col("bad") >= SEGMENT_TEXTS), "toxicity-segments")
