@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from kgloom.session import materialized, scratch_path
 
-from .common import map_arrow, table
+from .common import map_arrow, numbered_parts, table
 
 ARCHIVE_BYTES = 256 << 20
 #: records next to each other are fetched together, up to so many bytes
@@ -273,7 +273,11 @@ def read_records(located: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    spread = located.withColumn("range", F.expr(f"offset div {RANGE_BYTES}")).repartition("archive", "range")
+    # sized by the bytes of the records, of which the index rows tell nothing
+    located = materialized(located.select("archive", "offset", "length"), "warc-index")
+    size = located.agg(F.sum("length")).first()[0] or 0
+    parts = numbered_parts(located.sparkSession, size, RANGE_BYTES)
+    spread = located.withColumn("range", F.expr(f"offset div {RANGE_BYTES}")).repartition(parts, "archive", "range")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     return map_arrow(spread.sortWithinPartitions("archive", "offset").drop("range"), run, schema)
 
