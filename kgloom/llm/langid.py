@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from kgloom.session import materialized
 
-from .common import held_out, map_arrow, mixed, table, text_bytes, text_chunks
+from .common import CHUNK_BYTES, held_out, map_arrow, mixed, table, text_bytes, text_chunks
 
 BUCKETS = 1 << 15
+#: bytes of text that are scored or counted at once (a byte takes about 40 of memory), n-grams that are hashed at once
+PIECE_BYTES, BLOCK_KEYS = 1 << 18, 1 << 15
 #: the classifier is fitted on about so many labelled documents of each language, chosen by a hash of the id
 TRAIN_DOCS = 40_000
 #: languages that are counted, fitted and scored at once
@@ -40,23 +42,36 @@ def _folded() -> np.ndarray:
     return table
 
 
+def _buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Hash buckets of ``keys``, a block at a time, so that only the result is as long as they are."""
+    out = np.empty(len(keys), np.int32)
+    for at in range(0, len(keys), BLOCK_KEYS):
+        out[at : at + BLOCK_KEYS] = mixed(keys[at : at + BLOCK_KEYS]) % np.uint64(buckets)
+    return out
+
+
 def hashed_ngrams(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every bigram and trigram, text it belongs to), without those of blanks only."""
+    """(bucket of every bigram and trigram, text it belongs to), without those of blanks only; 32-bit integers."""
     data, offsets = text_bytes(column)
     if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    firsts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-    owner = np.repeat(np.arange(len(column)), np.diff(firsts))
-    points = _folded()[points].astype(np.uint64)
-    pair = points[:-1] << np.uint64(21) | points[1:]
+    firsts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)])[offsets]
+    owner = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(firsts))
+    points = _folded()[points]
     same = owner[:-1] == owner[1:]
-    keep2 = same & (pair != (32 << 21 | 32))
-    triple = pair[:-1] << np.uint64(21) | points[2:]
+    keep2 = same & ((points[:-1] != 32) | (points[1:] != 32))
     keep3 = same[:-1] & same[1:] & keep2[:-1] & keep2[1:]
-    keys = np.concatenate([pair[keep2], triple[keep3] | np.uint64(1 << 63)])
-    owners = np.concatenate([owner[:-1][keep2], owner[:-2][keep3]])
-    return (mixed(keys) % np.uint64(buckets)).astype(np.int64), owners
+    pair = points[:-1].astype(np.uint64)
+    pair <<= np.uint64(21)
+    pair |= points[1:]
+    ids = [_buckets(pair[keep2], buckets)]
+    triple = pair[:-1]
+    triple <<= np.uint64(21)
+    triple |= points[2:]
+    triple |= np.uint64(1 << 63)
+    ids.append(_buckets(triple[keep3], buckets))
+    return np.concatenate(ids), np.concatenate([owner[:-1][keep2], owner[:-2][keep3]])
 
 
 def ngram_counts(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -64,7 +79,7 @@ def ngram_counts(labelled: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
-        for piece in text_chunks(batches, "text"):
+        for piece in text_chunks(batches, "text", PIECE_BYTES):
             langs, codes = np.unique(np.array(piece.column("lang").to_pylist(), object), return_inverse=True)
             ids, owners = hashed_ngrams(piece.column("text"), buckets)
             for first in range(0, len(langs), SLICE_LANGUAGES):
@@ -182,9 +197,9 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     def run(batches):
         languages, prior, buckets = shared.value
-        # a single slice is kept
+        # a single slice is kept; several are read again for each piece, which is larger then
         model = LanguageModel(languages, prior, slices if len(slices) > 1 else [slices[0].value], buckets)
-        for piece in text_chunks(batches, "text"):
+        for piece in text_chunks(batches, "text", PIECE_BYTES if len(slices) == 1 else CHUNK_BYTES):
             best, score = model.score(piece.column("text"))
             letters = piece.column("__letters").to_numpy(zero_copy_only=False)
             langs = [model.languages[b] if k else UNDETERMINED for b, k in zip(best, letters)]

@@ -1,6 +1,7 @@
 """Language ID and toxicity: held-out accuracy, and what they do with odd rows."""
 
 import random
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -60,6 +61,32 @@ def test_ngrams_stay_within_a_text():
     assert sorted(ids[owners == 0]) == sorted(ids[owners == 1])
 
 
+def test_a_task_holds_little_beside_its_batch(spark, prose, monkeypatch):
+    """Two workers share what the executor's heap leaves: counting and scoring 2 MB take less than 32 MB beside them."""
+    texts = [prose(i, 300) for i in range(40)] * 30
+    docs = spark.createDataFrame([(i, prose(i, 5), "xx" if i % 2 else "yy") for i in range(8)], "doc_id long, text string, lang string")
+    tasks, whole = {}, langid.map_arrow
+    model = langid.fit(docs)
+
+    def kept(df, function, schema):
+        tasks[function.__name__] = function
+        return whole(df, function, schema)
+
+    monkeypatch.setattr(langid, "map_arrow", kept)
+    langid.ngram_counts(docs)
+    langid.predict(docs, model)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts, "lang": ["xx"] * len(texts), "__letters": [True] * len(texts)})
+    assert batch.nbytes > 2 << 20
+    for function in tasks.values():
+        tracemalloc.start()
+        try:
+            assert sum(1 for _ in function(iter([batch])))
+            assert tracemalloc.get_traced_memory()[1] < 32 << 20
+        finally:
+            tracemalloc.stop()
+    assert set(tasks) == {"count", "run"}
+
+
 @pytest.mark.skipif(not TABLES.exists(), reason="test tables are missing")
 def test_held_out_languages(spark):
     found = langid.op5_language_id(spark, str(TABLES)).join(spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "lang"), "doc_id")
